@@ -24,21 +24,19 @@ TEMPLATE = r"\{\{\{[^{}]*\}\}\}|\{\{[^{}]*\}\}"
 TEMPLATE_BODY = r"\{\{([^{}]*)\}\}"
 TABLE = r"(?m)^[ :]*\{\|[^{}]*\|\}"
 TAG = r"</?[A-Za-z][^<>]*>"
-CATEGORY_LINK = r"(?iu)\[\[(?:catégorie|category):[^\[\]]*\]\]"
-CATEGORY_NAME = (
-    r"(?iu)\[\[(?:catégorie|category):\s*([^\[\]|:#\n]*)(?:[|:#][^\[\]]*)?\]\]"
-)
+CATEGORY_LINK = r"\[\[(?iu:catégorie|category):[^\[\]]*\]\]"
+CATEGORY_NAME = r"\[\[(?iu:catégorie|category):\s*([^\[\]|:#\n]*)(?:[|:#][^\[\]]*)?\]\]"
 PREFIXED_LINK = r"\[\[[^\[\]|:#]*:[^\[\]|:#]*([^\[\]|]*)\]\]"
 LINK = r"\[\[(?:[^\[\]|]*\|)?([^\[\]]*)\]\]"
 OUTER_LINK = r"\[(?:https?:)?//[^\s\[\]]+[ \t]*([^\[\]\n]*)\]"
 QUOTES = r"'{2,5}"
-TEXT_QUALITY = r"(?i)\{\{textquality\|([^{}|]*)"
+TEXT_QUALITY = r"\{\{(?i:textquality)\|([^{}|]*)"
 PAGE_QUALITY = r"<pagequality [^>]+/>"
 PAGE_QUALITY_LEVEL = r'level="([0-9])"'
 EMBED_ELEMENT = r"<pages [^>]+/>"
 EMBED_INDEX = r'index="([^"]+)"'
-EMBED_TEMPLATE = r"(?i)\{\{page\|([^{}|]*)"
-EMBED_TEMPLATE_CALL = r"(?i)\{\{page(?:\||\}\})"
+EMBED_TEMPLATE = r"\{\{(?i:page)\|([^{}|]*)"
+EMBED_TEMPLATE_CALL = r"\{\{(?i:page)(?:\||\}\})"
 INDEX_TEMPLATE = r"(?is)\{\{[^{}|]*proofreadpage_index_template.*"
 INDEX_YEAR_FIELDS = r"\|(?:Annee|Publication)=([^{}|]*(?:\{\{[^{}]*\}\}[^{}|]*)*)"
 YEAR_RANGE = r"[0-9]{4}(?:-[0-9]{4})?"
@@ -50,6 +48,13 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def where_found(text: Column, mark: str, rewrite: Callable[[Column], Column]) -> Column:
+    """Rewrite only texts that hold ``mark``: a byte search is far cheaper than a pattern."""
+    return bind(
+        text, lambda t: F.when(F.contains(t, F.lit(mark)), rewrite(t)).otherwise(t)
+    )
+
+
 def nesting(text: Column, opening: str, closing: str) -> Column:
     """Upper bound of the nesting depth of a bracket pair, per row."""
     marks = F.regexp_extract_all(text, F.lit(f"{opening}|{closing}"), F.lit(0))
@@ -77,8 +82,9 @@ def rewrite_nested(
     text: Column, pattern: str, replacement: str, opening: str, closing: str
 ) -> Column:
     """Apply a replacement of innermost matches once per nesting level."""
-    return bind(
+    return where_found(
         text,
+        opening.replace("\\", ""),
         lambda t: F.aggregate(
             F.array_repeat(F.lit(0), nesting(t, opening, closing)),
             t,
@@ -88,7 +94,7 @@ def rewrite_nested(
 
 
 def drop_comments(text: Column) -> Column:
-    return F.regexp_replace(text, COMMENT, "")
+    return where_found(text, "<!--", lambda t: F.regexp_replace(t, COMMENT, ""))
 
 
 def drop_templates(text: Column) -> Column:
@@ -99,28 +105,39 @@ def drop_tables(text: Column) -> Column:
     return rewrite_nested(text, TABLE, "", r"\{\|", r"\|\}")
 
 
+def drop_tags(text: Column) -> Column:
+    return where_found(text, "<", lambda t: F.regexp_replace(t, TAG, ""))
+
+
 def strip_prefixed_links(text: Column) -> Column:
     """Remove category links whole, and ``key:value`` of every other unpiped link.
 
     A category link shows nothing on the page, and its name or sort key may hold
     the year to be predicted. Piped links keep their visible text.
     """
-    text = F.regexp_replace(text, CATEGORY_LINK, "")
-    return F.regexp_replace(text, PREFIXED_LINK, "$1")
+    return where_found(
+        text,
+        "[[",
+        lambda t: F.regexp_replace(
+            F.regexp_replace(t, CATEGORY_LINK, ""), PREFIXED_LINK, "$1"
+        ),
+    )
 
 
 def unwrap_links(text: Column) -> Column:
     """Replace links by their visible text, inner links first."""
     text = rewrite_nested(text, LINK, "$1", r"\[\[", r"\]\]")
-    return F.regexp_replace(text, OUTER_LINK, "$1")
+    return where_found(text, "//", lambda t: F.regexp_replace(t, OUTER_LINK, "$1"))
+
+
+def drop_quotes(text: Column) -> Column:
+    return where_found(text, "''", lambda t: F.regexp_replace(t, QUOTES, ""))
 
 
 def plain_text(text: Column) -> Column:
     """Wikitext to plain text: comments, templates, tables, tags, links, quotes."""
-    text = drop_tables(drop_templates(drop_comments(text)))
-    text = F.regexp_replace(text, TAG, "")
-    text = unwrap_links(strip_prefixed_links(text))
-    return F.regexp_replace(text, QUOTES, "")
+    text = drop_tags(drop_tables(drop_templates(drop_comments(text))))
+    return drop_quotes(unwrap_links(strip_prefixed_links(text)))
 
 
 def category_names(text: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+QUARTILES = (25, 50, 75)
+
 
 def category_distribution(df: DataFrame) -> DataFrame:
     """Pages per category; pages without any are counted under NULL."""
@@ -49,7 +51,8 @@ def class_distribution(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, *columns: str) -> DataFrame:
     """One row of summary figures per numeric column, in one aggregation pass.
 
-    Quartiles are values of the column, exact to one part in 10,000 of the rank.
+    Quartiles are exact values of the column. They keep one count per distinct value,
+    which suits years, qualities and lengths; partial counts merge map-side.
     """
     figures = []
     for name in columns:
@@ -60,9 +63,12 @@ def describe(df: DataFrame, *columns: str) -> DataFrame:
             F.avg(c).alias(f"{name}_mean"),
             F.stddev_samp(c).alias(f"{name}_std"),
             F.min(c).cast("double").alias(f"{name}_min"),
-            F.percentile_approx(c, [0.25, 0.5, 0.75], 10000)
-            .cast("array<double>")
-            .alias(f"{name}_quartiles"),
+            *[
+                F.expr(f"percentile_disc({q / 100}) within group (order by `{name}`)")
+                .cast("double")
+                .alias(f"{name}_q{q}")
+                for q in QUARTILES
+            ],
             F.max(c).cast("double").alias(f"{name}_max"),
         ]
     rows = [
@@ -73,9 +79,7 @@ def describe(df: DataFrame, *columns: str) -> DataFrame:
             F.col(f"{name}_mean").alias("mean"),
             F.col(f"{name}_std").alias("std"),
             F.col(f"{name}_min").alias("min"),
-            F.col(f"{name}_quartiles")[0].alias("q25"),
-            F.col(f"{name}_quartiles")[1].alias("q50"),
-            F.col(f"{name}_quartiles")[2].alias("q75"),
+            *[F.col(f"{name}_q{q}").alias(f"q{q}") for q in QUARTILES],
             F.col(f"{name}_max").alias("max"),
         )
         for name in columns

@@ -23,6 +23,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import session
+
 # Published settings.
 MAX_DEPTH = 30
 HIDDEN = (100, 100)
@@ -125,8 +127,8 @@ class FourierFeatures:
         return df.withColumn("features", array_to_vector(projected))
 
 
-def kernel_gamma(train: DataFrame) -> tuple[int, float]:
-    """Vector width, and ``1 / (width * variance of all cells)``, in one sparse pass."""
+def kernel_scale(train: DataFrame) -> tuple[int, int, float]:
+    """Rows, vector width, and ``1 / (width * variance of all cells)``, in one sparse pass."""
     stats = train.select(
         Summarizer.metrics("mean", "normL2", "count").summary(F.col("features")).alias("s")
     ).select("s.*").first()
@@ -134,7 +136,8 @@ def kernel_gamma(train: DataFrame) -> tuple[int, float]:
     mean = float(np.mean(stats["mean"].toArray()))
     square = float(np.sum(stats["normL2"].toArray() ** 2)) / (stats["count"] * width)
     variance = square - mean * mean
-    return width, 1.0 / (width * variance) if variance > 0 else 1.0
+    gamma = 1.0 / (width * variance) if variance > 0 else 1.0
+    return stats["count"], width, gamma
 
 
 def svm(
@@ -143,23 +146,26 @@ def svm(
     size: int = 256,
     seed: int = 0,
     max_iter: int = 30,
+    tol: float = 1e-3,
     parallelism: int = 4,
 ) -> Classifier:
     """RBF-kernel support vector machine, approximated.
 
     MLlib has no kernel machine: linear machines, one class against the rest, run
-    over random Fourier features of the same kernel.
+    over random Fourier features of the same kernel, with the same weight of errors
+    (C = 1) and tolerance.
     """
-    width, gamma = kernel_gamma(train)
+    rows, width, gamma = kernel_scale(train)
     projection = FourierFeatures(width, gamma, size, seed)
     classes = class_list(train, label)
-    rows = projection.transform(_numbered(train, label, classes).select("class", "features"))
+    numbered = _numbered(train, label, classes).select("class", "features")
+    projected = session.stage(projection.transform(numbered), "projected")
     estimator = OneVsRest(
-        classifier=LinearSVC(maxIter=max_iter, regParam=1e-4),
+        classifier=LinearSVC(maxIter=max_iter, tol=tol, regParam=1.0 / rows),
         labelCol="class",
         parallelism=parallelism,
     )
-    return Classifier(estimator.fit(rows), classes, label, projection)
+    return Classifier(estimator.fit(projected), classes, label, projection)
 
 
 def predict(fitted: Classifier, df: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -85,8 +85,12 @@ def drop_redirects(df: DataFrame) -> DataFrame:
 
 
 def min_length(df: DataFrame, n: int = MIN_CHARACTERS, text: str = "text") -> DataFrame:
-    """Keep texts of at least ``n`` characters; meant for text without markup."""
-    return df.filter(F.length(text) >= n)
+    """Keep texts of at least ``n`` characters; meant for text without markup.
+
+    A stored count, ``n_chars``, saves reading the text.
+    """
+    length = F.col("n_chars") if "n_chars" in df.columns else F.length(text)
+    return df.filter(length >= n)
 
 
 def known_quality(df: DataFrame) -> DataFrame:

@@ -22,6 +22,12 @@ SYMBOL = "\x01([^\x02]+)\x02"
 MAX_MERGES = 1_000_000
 
 
+def _spread(words: DataFrame) -> DataFrame:
+    """Distinct words are small rows with much work each: use every shuffle partition."""
+    n = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return words.repartition(n, "word")
+
+
 def word_pieces(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Words per document with their counts, ``(doc, word, n)``."""
     pieces = F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
@@ -70,7 +76,7 @@ def learn_merges(
     one (ties by ``left``, then ``right``) and rewrites the words. One row per round
     comes to the driver; the word table is staged every few rounds.
     """
-    words = pieces.groupBy("word").agg(F.sum("n").alias("n"))
+    words = _spread(pieces.groupBy("word").agg(F.sum("n").alias("n")))
     words = session.stage(words.select("n", spelled(F.col("word")).alias("symbols")), "words")
     learned: list[tuple[int, str, str]] = []
     for rank in range(n_merges):
@@ -123,7 +129,7 @@ def word_segments(words: DataFrame, merges: DataFrame) -> DataFrame:
             symbols = [segment(word, ranks.value) for word in batch["word"]]
             yield pd.DataFrame({"word": batch["word"], "symbols": symbols})
 
-    return words.mapInPandas(apply, "word string, symbols array<string>")
+    return _spread(words).mapInPandas(apply, "word string, symbols array<string>")
 
 
 def subword_tokens(pieces: DataFrame, merges: DataFrame, doc: str = "doc_id") -> DataFrame:

@@ -9,10 +9,7 @@ from pyspark.sql import functions as F
 from .. import session
 
 # White space in the Unicode sense, spelled out so that engines agree.
-SPACE = (
-    r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
+SPACE = r"\t-\r\x1c-\x1f\x{85}\p{Z}"
 # A token is a run of anything but white space and . ; ,
 WORD = rf"[^{SPACE}.;,]+"
 MIN_DF = 0.05

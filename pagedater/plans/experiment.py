@@ -36,7 +36,7 @@ def features(
     fitted = counted if fit_on == "all" else counted.filter(F.col("split") == "train")
     frequencies = tokens.doc_frequency(tokens.bag_of_words(fitted, key))
     names = tokens.feature_names(tokens.prune_vocabulary(frequencies, fitted, min_df))
-    return tokens.vectorise(counted, names).drop("tokens"), names
+    return session.stage(tokens.vectorise(counted, names).drop("tokens"), "vectors"), names
 
 
 def run(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import session
 from ..operators import books, markup, pages
@@ -23,8 +22,7 @@ def wanted_pages(df: DataFrame) -> DataFrame:
 
 def raw_pages(facts: DataFrame, known_books: DataFrame, strategy: str = "shuffle") -> DataFrame:
     """Facts of pages to raw pages: long enough, of known quality, categories restored."""
-    texts = facts.filter(F.col("is_text") & (F.col("n_chars") >= pages.MIN_CHARACTERS))
-    texts = pages.known_quality(texts)
+    texts = pages.known_quality(pages.min_length(facts.filter("is_text")))
     kept = [c for c in ("page_id", "title", "categories", "quality", "n_chars", "text") if c in texts.columns]
     return books.restore_categories(texts.select(*kept), known_books, strategy)
 

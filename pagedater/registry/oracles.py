@@ -294,7 +294,8 @@ ORACLES: dict[str, str] = {
     ),
     "a7_class_distribution": _corpus(
         "select semicentury, count(*) as pages, cast(sum(length(text)) as bigint) as characters"
-        " from dated join plain using (page_id) where length(text) >= 384 group by semicentury"
+        " from dated join plain using (page_id) join texts using (page_id)"
+        " where length(text) >= 384 group by semicentury"
     ),
     "a8_describe": _corpus(
         " union all ".join(

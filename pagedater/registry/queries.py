@@ -50,8 +50,13 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return read(spark, sf, "documents")
 
 
+def texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents, on all cores, for the work that is heavy per row."""
+    return tables.spread(documents(spark, sf), "doc_id")
+
+
 def corpus(spark: SparkSession, sf: str) -> DataFrame:
-    documents(spark, sf).createOrReplaceTempView("documents")
+    texts(spark, sf).createOrReplaceTempView("documents")
     return spark.sql(CORPUS_SQL)
 
 
@@ -202,12 +207,15 @@ def p5_project_page(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def p6_min_length(spark: SparkSession, sf: str) -> DataFrame:
-    return _ids(pages.min_length(markup.plain_text(wanted(spark, sf))))
+    plain = wt.plain_text(F.col("text"))
+    counted = wanted(spark, sf).select("page_id", "title", yr.n_chars(plain).alias("n_chars"))
+    return _ids(pages.min_length(session.stage(counted, "counted")))
 
 
 @query
 def p7_known_quality(spark: SparkSession, sf: str) -> DataFrame:
-    return pages.known_quality(markup.quality(wanted(spark, sf))).select("page_id", "title", "quality")
+    rated = markup.quality(wanted(spark, sf)).select("page_id", "title", "quality")
+    return pages.known_quality(session.stage(rated, "rated"))
 
 
 @query
@@ -376,8 +384,9 @@ def a6_year_distribution(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def a7_class_distribution(spark: SparkSession, sf: str) -> DataFrame:
     """The minimum slice: pages that carry their own categories, straight from text."""
-    rows = markup.plain_text(markup.page_categories(wanted(spark, sf)))
-    return distributions.class_distribution(labels.labelled_pages(pages.min_length(rows)))
+    facts = session.stage(markup.page_facts(wanted(spark, sf)).drop("text"), "facts")
+    rows = pages.min_length(facts.filter("is_text"))
+    return distributions.class_distribution(labels.labelled_pages(rows))
 
 
 @query
@@ -479,13 +488,15 @@ def x6_random_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _tokenised(spark: SparkSession, sf: str) -> DataFrame:
-    return tokens.word_tokens(documents(spark, sf))
+    return tokens.word_tokens(texts(spark, sf))
 
 
 def _vocabulary(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    docs = _tokenised(spark, sf)
-    bag = tokens.bag_of_words(docs)
-    return bag, tokens.prune_vocabulary(tokens.doc_frequency(bag), docs)
+    """Counts and pruned vocabulary, both staged, so the texts are tokenised once."""
+    bag = session.stage(tokens.bag_of_words(_tokenised(spark, sf)), "bag")
+    frequencies = tokens.doc_frequency(bag)
+    vocabulary = tokens.prune_vocabulary(frequencies, documents(spark, sf))
+    return bag, session.stage(vocabulary, "vocabulary")
 
 
 @query
@@ -495,13 +506,13 @@ def f1_word_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def f2_subword_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    pieces = session.stage(subwords.word_pieces(documents(spark, sf)), "pieces")
+    pieces = session.stage(subwords.word_pieces(texts(spark, sf)), "pieces")
     return subwords.subword_tokens(pieces, subwords.learn_merges(pieces, MERGES))
 
 
 @query
 def f3_learn_merges(spark: SparkSession, sf: str) -> DataFrame:
-    return subwords.learn_merges(subwords.word_pieces(documents(spark, sf)), MERGES)
+    return subwords.learn_merges(subwords.word_pieces(texts(spark, sf)), MERGES)
 
 
 @query
@@ -511,7 +522,8 @@ def f4_doc_frequency(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def f5_prune_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
-    return _vocabulary(spark, sf)[1].select("token", "df")
+    frequencies = f4_doc_frequency(spark, sf)
+    return tokens.prune_vocabulary(frequencies, documents(spark, sf)).select("token", "df")
 
 
 @query
@@ -528,14 +540,14 @@ def f7_feature_names(spark: SparkSession, sf: str) -> DataFrame:
 def f8_feature_table(spark: SparkSession, sf: str) -> DataFrame:
     bag, vocabulary = _vocabulary(spark, sf)
     docs = splits.random_split(documents(spark, sf).select("doc_id", "lang"), key="doc_id")
-    return tokens.feature_table(session.stage(bag, "bag"), session.stage(vocabulary, "vocabulary"), docs)
+    return tokens.feature_table(bag, vocabulary, docs)
 
 
 # --- models and evaluation --------------------------------------------------
 
 
 def _vectors(spark: SparkSession, sf: str) -> DataFrame:
-    return experiment.features(documents(spark, sf), label="lang", key="doc_id")[0]
+    return experiment.features(texts(spark, sf), label="lang", key="doc_id")[0]
 
 
 def _predicted(spark: SparkSession, sf: str, model: str, **options) -> DataFrame:
@@ -560,7 +572,6 @@ def m3_naive_bayes(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def m3_naive_bayes_table(spark: SparkSession, sf: str) -> DataFrame:
     bag, vocabulary = _vocabulary(spark, sf)
-    vocabulary = session.stage(vocabulary, "vocabulary")
     docs = documents(spark, sf).select("doc_id", "lang")
     features = tokens.feature_table(bag, vocabulary, docs)
     return rounded(models.naive_bayes_table(features, docs, vocabulary, "lang"), "log_prob")

@@ -10,6 +10,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Put a scan of fewer splits than cores on all cores, by a unique key.
+
+    One small file is one task, however dear the work on its texts. A table that
+    already has a split per core stays as it is: at scale nothing is shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def write_table(
     df: DataFrame, path: str, partition_by: str | None = None, mode: str = "errorifexists"
 ) -> None:
