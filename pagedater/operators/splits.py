@@ -26,9 +26,9 @@ TINY_KEEP = 0.15
 TOLERANCE = 0.1
 SAMPLE_SIZE = 10_000
 
-# 16**4 buckets: a class of 10**11 rows leaves about 1.5 million (hash, key) pairs
-# to rank, and the running count sees at most 65,536 rows per class.
-BUCKET_DIGITS = 4
+# 16**3 buckets: map-side counts shrink to 4,096 rows per class and task, and a class
+# of 10**10 rows leaves about 2.4 million (hash, key) pairs to rank.
+BUCKET_DIGITS = 3
 
 Rank = Callable[[Column], Column]
 
@@ -53,7 +53,9 @@ def hash_cuts(
     """Per class, the ``(hash, key)`` of the row at each named rank.
 
     ``ranks`` maps a name to a function of the class size. A rank of 0 has no row,
-    so its boundary is NULL and nothing lies below it.
+    so its boundary is NULL and nothing lies below it. The buckets looked for, one
+    per class and rank, are staged and broadcast when few, so that the second pass
+    over the rows is a filter and only the rows of those buckets are shuffled.
     """
     keyed = df.select(*by, F.col(key).alias("_key"), order_hash(key, seed).alias("_hash"))
     keyed = keyed.withColumn("_bucket", F.substring("_hash", 1, BUCKET_DIGITS))
@@ -81,9 +83,11 @@ def hash_cuts(
             (F.col("_want.rank") - F.col("_upto") + F.col("_n")).alias("_nth"),
         )
     )
+    wanted = session.stage(wanted, "buckets")
+    found = session.broadcast_if_small(wanted)
     in_bucket = Window.partitionBy(*[f"_{c}" for c in by], "_cut").orderBy("_hash", "_key")
     located = (
-        keyed.join(wanted, _same(keyed, wanted, by) & (keyed["_bucket"] == wanted["_wanted"]))
+        keyed.join(found, _same(keyed, wanted, by) & (keyed["_bucket"] == wanted["_wanted"]))
         .withColumn("_row", F.row_number().over(in_bucket))
         .filter(F.col("_row") == F.col("_nth"))
     )

@@ -34,9 +34,15 @@ def bag_of_words(df: DataFrame, doc: str = "doc_id") -> DataFrame:
     )
 
 
-def doc_frequency(bag: DataFrame) -> DataFrame:
-    """Documents per token."""
-    return bag.groupBy("token").agg(F.count("*").alias("df"))
+def doc_frequency(df: DataFrame) -> DataFrame:
+    """Documents per token, from a ``tokens`` column or from a bag of words.
+
+    From tokens, repeats are dropped inside the row, so no (document, token) pair is
+    ever shuffled: partial counts per token are.
+    """
+    if "tokens" in df.columns:
+        df = df.select(F.explode(F.array_distinct("tokens")).alias("token"))
+    return df.groupBy("token").agg(F.count("*").alias("df"))
 
 
 def prune_vocabulary(frequencies: DataFrame, docs: DataFrame, min_df: float = MIN_DF) -> DataFrame:

@@ -34,7 +34,7 @@ def features(
     split = splits.random_split(docs.select(key, label, "text"), key=key)
     counted = session.stage(tokens.word_tokens(split).drop("text"), "tokens")
     fitted = counted if fit_on == "all" else counted.filter(F.col("split") == "train")
-    frequencies = tokens.doc_frequency(tokens.bag_of_words(fitted, key))
+    frequencies = tokens.doc_frequency(fitted)
     names = tokens.feature_names(tokens.prune_vocabulary(frequencies, fitted, min_df))
     return session.stage(tokens.vectorise(counted, names).drop("tokens"), "vectors"), names
 

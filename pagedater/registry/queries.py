@@ -517,7 +517,7 @@ def f3_learn_merges(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def f4_doc_frequency(spark: SparkSession, sf: str) -> DataFrame:
-    return tokens.doc_frequency(tokens.bag_of_words(_tokenised(spark, sf)))
+    return tokens.doc_frequency(_tokenised(spark, sf))
 
 
 @query
@@ -533,7 +533,9 @@ def f6_bag_of_words(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def f7_feature_names(spark: SparkSession, sf: str) -> DataFrame:
-    return _vocabulary(spark, sf)[1].select("token_id", "token")
+    frequencies = f4_doc_frequency(spark, sf)
+    vocabulary = tokens.prune_vocabulary(frequencies, documents(spark, sf))
+    return vocabulary.select("token_id", "token")
 
 
 @query

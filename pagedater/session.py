@@ -36,14 +36,12 @@ def staging_root(spark: SparkSession) -> str:
     """Shared folder for staged tables.
 
     A cluster names it in ``spark.checkpoint.dir``. Only where that is unset (tests
-    on one machine) a fresh temporary folder is made and set for the session.
+    on one machine) a fresh temporary folder is made for the session.
     """
-    root = spark.conf.get(CHECKPOINT_CONF, None)
+    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if root is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pagedater-"))
         root = spark.sparkContext.getCheckpointDir()
-    if root is None:
-        root = tempfile.mkdtemp(prefix="pagedater-")
-        spark.conf.set(CHECKPOINT_CONF, root)
     return root
 
 

@@ -30,16 +30,24 @@ def write_table(
     writer.parquet(path, compression="zstd")
 
 
+# White space belongs to the text, and quotes are doubled inside quoted fields.
+CSV_OPTIONS = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with a header: a folder of parts, quotes doubled inside quoted fields."""
-    df.write.mode(mode).csv(path, header=True, quote='"', escape='"')
+    """CSV with a header, as a folder of parts."""
+    df.write.mode(mode).csv(path, **CSV_OPTIONS)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Read what ``write_csv`` wrote; fields may hold line breaks."""
-    return spark.read.csv(
-        path, schema=schema, header=True, quote='"', escape='"', multiLine=True
-    )
+    """Read what ``write_csv`` wrote: fields may hold line breaks, empty is not NULL."""
+    return spark.read.csv(path, schema=schema, multiLine=True, nullValue="\x01", **CSV_OPTIONS)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
