@@ -48,6 +48,11 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def nonempty(value: Column) -> Column:
+    """NULL instead of an empty string (what a pattern without a match gives)."""
+    return bind(value, lambda v: F.when(v != "", v))
+
+
 def where_found(text: Column, mark: str, rewrite: Callable[[Column], Column]) -> Column:
     """Rewrite only texts that hold ``mark``: a byte search is far cheaper than a pattern."""
     return bind(
@@ -176,20 +181,24 @@ def argument_value(argument: Column) -> Column:
 def text_quality(text: Column) -> Column:
     """Quality of the last ``TextQuality`` template, 0-100; NULL when unreadable."""
     marks = F.regexp_extract_all(drop_comments(text), F.lit(TEXT_QUALITY), F.lit(1))
-    value = argument_value(F.try_element_at(marks, F.lit(-1)))
-    number = F.regexp_replace(value, r"(?s).\z", "")
-    return F.when(value == VALIDATED, F.lit(100)).otherwise(number.try_cast("int"))
+    return bind(
+        argument_value(F.try_element_at(marks, F.lit(-1))),
+        lambda value: F.when(value == VALIDATED, F.lit(100)).otherwise(
+            F.regexp_replace(value, r"(?s).\z", "").try_cast("int")
+        ),
+    )
 
 
 def page_quality(text: Column) -> Column:
     """Level 0-4 of the first ``pagequality`` element, times 25; NULL without one."""
     level = F.regexp_extract(F.regexp_extract(text, PAGE_QUALITY, 0), PAGE_QUALITY_LEVEL, 1)
-    return F.nullif(level, F.lit("")).cast("int") * 25
+    return level.try_cast("int") * 25
 
 
 def quality(text: Column) -> Column:
     """Template quality unless missing or 0, else the page element's."""
-    return F.coalesce(F.nullif(text_quality(text), F.lit(0)), page_quality(text))
+    stated = bind(text_quality(text), lambda q: F.when(q != 0, q))
+    return F.coalesce(stated, page_quality(text))
 
 
 def embeds_by_tag(text: Column) -> Column:
@@ -208,18 +217,18 @@ def transcludes(text: Column) -> Column:
 def embed_target_tag(text: Column) -> Column:
     """Book named by the first self-closing ``pages`` element, or NULL."""
     element = F.regexp_extract(text, EMBED_ELEMENT, 0)
-    return F.nullif(F.regexp_extract(element, EMBED_INDEX, 1), F.lit(""))
+    return nonempty(F.regexp_extract(element, EMBED_INDEX, 1))
 
 
 def embed_target_template(text: Column) -> Column:
     """Book named by the first argument of the first ``page`` template, or NULL."""
     argument = F.regexp_extract(drop_comments(text), EMBED_TEMPLATE, 1)
-    return F.nullif(argument_value(argument), F.lit(""))
+    return nonempty(argument_value(argument))
 
 
 def numeric_title_guard(book: Column, title: Column) -> Column:
     """A book name made of digits only gives way to the page's own title."""
-    return F.when(book.rlike(NUMERIC), title).otherwise(book)
+    return bind(book, lambda b: F.when(b.rlike(NUMERIC), title).otherwise(b))
 
 
 def embed_target(text: Column, title: Column) -> Column:

@@ -64,7 +64,7 @@ def _earliest(matches: DataFrame, key: str, prefix: str) -> DataFrame:
     """Earliest-seen book per key. A key has one match per prefix length at most."""
     return matches.groupBy(key).agg(
         F.min("first_page_id").alias(f"{prefix}_seen"),
-        F.min_by("book_categories", "first_page_id").alias(f"{prefix}_categories"),
+        F.min_by("payload", "first_page_id").alias(f"{prefix}_payload"),
     )
 
 
@@ -111,9 +111,9 @@ def _first_book_by_stem(scans: DataFrame, books: DataFrame) -> DataFrame:
         F.col("plain_seen").isNotNull() | F.col("pathed_seen").isNotNull()
     ).select(
         "page_id",
-        F.when(F.col("pathed_seen").isNotNull() & pathed_wins, F.col("pathed_categories"))
-        .otherwise(F.col("plain_categories"))
-        .alias("book_categories"),
+        F.when(F.col("pathed_seen").isNotNull() & pathed_wins, F.col("pathed_payload"))
+        .otherwise(F.col("plain_payload"))
+        .alias("payload"),
     )
 
 
@@ -122,7 +122,7 @@ def _first_book_broadcast(scans: DataFrame, books: DataFrame) -> DataFrame:
     candidates = _prefixes(scans.select("page_id", "scan", _lengths(books)), "page_id", "scan")
     matches = candidates.join(F.broadcast(books), "book_title")
     return _earliest(matches, "page_id", "any").select(
-        "page_id", F.col("any_categories").alias("book_categories")
+        "page_id", F.col("any_payload").alias("payload")
     )
 
 
@@ -131,13 +131,24 @@ def fits_broadcast(books: DataFrame) -> bool:
     size = books.agg(
         F.count("*").alias("n"),
         F.sum(
-            F.octet_length("book_title")
-            + F.octet_length(F.array_join("book_categories", ","))
+            F.octet_length("book_title") + F.octet_length(F.array_join("categories", ","))
         ).alias("bytes"),
     ).first()
     return size["n"] <= session.BROADCAST_ROWS and (size["bytes"] or 0) <= session.BROADCAST_BYTES
 
 
+def first_book(
+    pages: DataFrame, books: DataFrame, payload: Column, strategy: str = "shuffle"
+) -> DataFrame:
+    """``(page_id, payload)`` of the first-seen book of every scanned page that has one."""
+    known = books.select("book_title", "first_page_id", payload.alias("payload"))
+    if strategy not in ("shuffle", "broadcast"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    if strategy == "broadcast" and fits_broadcast(books):
+        return _first_book_broadcast(_scans(pages), known)
+    return _first_book_by_stem(_scans(pages), known)
+
+
 def restore_categories(
     pages: DataFrame, books: DataFrame, strategy: str = "shuffle"
 ) -> DataFrame:
@@ -151,17 +162,25 @@ def restore_categories(
     ``books`` is read several times; hand over a staged table. ``strategy="broadcast"``
     is for few books: it is checked, and beyond the bound the shuffle form runs.
     """
-    books = books.select(
-        "book_title", "first_page_id", F.col("categories").alias("book_categories")
+    found = first_book(pages, books, F.col("categories"), strategy)
+    return (
+        pages.join(found, "page_id", "left")
+        .withColumn("categories", yr.merge_sets(F.col("categories"), F.col("payload")))
+        .drop("payload")
     )
-    if strategy == "broadcast" and fits_broadcast(books):
-        first = _first_book_broadcast(_scans(pages), books)
-    elif strategy in ("broadcast", "shuffle"):
-        first = _first_book_by_stem(_scans(pages), books)
-    else:
-        raise ValueError(f"unknown strategy {strategy!r}")
+
+
+def restore_years(pages: DataFrame, books: DataFrame, strategy: str = "shuffle") -> DataFrame:
+    """Add ``pubyear`` over the own categories and those of the book, and drop the lists.
+
+    The same year as after ``restore_categories``, but only years go through the
+    joins: the most recent year of a union is the later one of its parts.
+    """
+    found = first_book(pages, books, yr.publication_year(F.col("categories")), strategy)
+    own = pages.withColumn("own_year", yr.publication_year(F.col("categories")))
     return (
-        pages.join(first, "page_id", "left")
-        .withColumn("categories", yr.merge_sets(F.col("categories"), F.col("book_categories")))
-        .drop("book_categories")
+        own.drop("categories")
+        .join(found, "page_id", "left")
+        .withColumn("pubyear", F.greatest("own_year", "payload"))
+        .drop("own_year", "payload")
     )

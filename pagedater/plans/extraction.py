@@ -20,26 +20,37 @@ def wanted_pages(df: DataFrame) -> DataFrame:
     return pages.drop_redirects(pages.drop_namespaces(df))
 
 
-def raw_pages(facts: DataFrame, known_books: DataFrame, strategy: str = "shuffle") -> DataFrame:
-    """Facts of pages to raw pages: long enough, of known quality, categories restored."""
-    texts = pages.known_quality(pages.min_length(facts.filter("is_text")))
-    kept = [c for c in ("page_id", "title", "categories", "quality", "n_chars", "text") if c in texts.columns]
-    return books.restore_categories(texts.select(*kept), known_books, strategy)
-
-
-def extract(df: DataFrame, with_text: bool = True, strategy: str = "shuffle") -> DataFrame:
-    """Page table to raw page table.
+def staged_facts(df: DataFrame, with_text: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Facts of wanted pages, and the books they make known, both staged.
 
-    The markup is read once, into a staged table of facts that both the books and
-    the pages come from. Without the text (``with_text=False``) the staged table is
-    narrow; its character counts serve the distributions.
+    The markup is read once, into the one table that books and pages both come from.
+    Without the text it is narrow; its character counts serve the distributions.
     """
     facts = markup.page_facts(wanted_pages(df))
     if not with_text:
         facts = facts.drop("text")
     facts = session.stage(facts, "facts")
-    known_books = session.stage(books.book_categories(facts), "books")
-    return raw_pages(facts, known_books, strategy)
+    return facts, session.stage(books.book_categories(facts), "books")
+
+
+def usable_texts(facts: DataFrame) -> DataFrame:
+    """Pages with a text of their own, long enough and of known quality."""
+    texts = pages.known_quality(pages.min_length(facts.filter("is_text")))
+    kept = ("page_id", "title", "categories", "quality", "n_chars", "text")
+    return texts.select(*[c for c in kept if c in texts.columns])
+
+
+def extract(df: DataFrame, with_text: bool = True, strategy: str = "shuffle") -> DataFrame:
+    """Page table to raw page table, with the categories of books restored."""
+    facts, known_books = staged_facts(df, with_text)
+    return books.restore_categories(usable_texts(facts), known_books, strategy)
+
+
+def dated(df: DataFrame, strategy: str = "shuffle") -> DataFrame:
+    """Page table to pages with their year, for counts: no texts, no category lists."""
+    facts, known_books = staged_facts(df, with_text=False)
+    found = books.restore_years(usable_texts(facts), known_books, strategy)
+    return pages.drop_null_label(found, "pubyear")
 
 
 def write_raw(spark: SparkSession, dump_path: str, out: str) -> DataFrame:

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..operators import distributions, labels, splits
+from . import extraction
 
 
 def labelled(raw: DataFrame) -> DataFrame:
     return labels.labelled_pages(raw)
 
 
-def class_distribution(raw: DataFrame) -> DataFrame:
-    """Pages and characters per period class."""
-    return distributions.class_distribution(labelled(raw))
+def class_distribution(pages: DataFrame) -> DataFrame:
+    """Pages and characters per period class, straight from a table of wiki pages."""
+    return distributions.class_distribution(labels.period_label(extraction.dated(pages)))
 
 
 def split_pages(pages: DataFrame) -> DataFrame:

@@ -127,7 +127,7 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 @query
 def flagship_class_distribution(spark: SparkSession, sf: str) -> DataFrame:
-    return labelling.class_distribution(raw(spark, sf))
+    return labelling.class_distribution(corpus(spark, sf))
 
 
 # --- sources and sinks ------------------------------------------------------

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL, plan_of
 from pagedater import session
-from pagedater.operators import books, markup
+from pagedater.operators import books, labels, markup
+from pagedater.plans import extraction
 from pagedater.registry import queries
 
 BOOKS = "book_title string, first_page_id long, categories array<string>"
@@ -91,9 +92,7 @@ def test_hot_book_and_order_of_rows(spark):
 def test_beyond_the_bound_the_broadcast_form_shuffles(spark, monkeypatch):
     pages, known = CASES["prefix clash"]
     monkeypatch.setattr(session, "BROADCAST_ROWS", 1)
-    assert not books.fits_broadcast(
-        spark.createDataFrame(known, BOOKS).withColumnRenamed("categories", "book_categories")
-    )
+    assert not books.fits_broadcast(spark.createDataFrame(known, BOOKS))
     assert restored(spark, pages, known, "broadcast") == brute_force(pages, known)
 
 
@@ -168,6 +167,14 @@ def test_two_passes_over_the_corpus_give_the_same(spark):
     assert early > 0, "no page came before its book"
 
 
+def test_years_alone_give_the_same_labels(spark):
+    corpus = queries.corpus(spark, SMALL)
+    short = extraction.dated(corpus).select("page_id", "pubyear", "n_chars")
+    full = labels.clean_pages(extraction.extract(corpus, with_text=False))
+    assert sorted(short.collect()) == sorted(full.select("page_id", "pubyear", "n_chars").collect())
+    assert short.count() > 0
+
+
 def test_corpus_exercises_every_kind(spark):
     facts = session.stage(markup.page_facts(queries.wanted(spark, SMALL)).drop("text"), "facts")
     known = books.book_categories(facts)
