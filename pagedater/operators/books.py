@@ -126,17 +126,6 @@ def _first_book_broadcast(scans: DataFrame, books: DataFrame) -> DataFrame:
     )
 
 
-def fits_broadcast(books: DataFrame) -> bool:
-    """Whether the books are few and small enough to broadcast (one light job)."""
-    size = books.agg(
-        F.count("*").alias("n"),
-        F.sum(
-            F.octet_length("book_title") + F.octet_length(F.array_join("categories", ","))
-        ).alias("bytes"),
-    ).first()
-    return size["n"] <= session.BROADCAST_ROWS and (size["bytes"] or 0) <= session.BROADCAST_BYTES
-
-
 def first_book(
     pages: DataFrame, books: DataFrame, payload: Column, strategy: str = "shuffle"
 ) -> DataFrame:
@@ -144,7 +133,7 @@ def first_book(
     known = books.select("book_title", "first_page_id", payload.alias("payload"))
     if strategy not in ("shuffle", "broadcast"):
         raise ValueError(f"unknown strategy {strategy!r}")
-    if strategy == "broadcast" and fits_broadcast(books):
+    if strategy == "broadcast" and session.fits_broadcast(known):
         return _first_book_broadcast(_scans(pages), known)
     return _first_book_by_stem(_scans(pages), known)
 

@@ -56,8 +56,9 @@ def texts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf: str) -> DataFrame:
-    texts(spark, sf).createOrReplaceTempView("documents")
-    return spark.sql(CORPUS_SQL)
+    source = documents(spark, sf)
+    source.createOrReplaceTempView("documents")
+    return tables.spread(spark.sql(CORPUS_SQL), "page_id", source)
 
 
 def wanted(spark: SparkSession, sf: str) -> DataFrame:

@@ -61,11 +61,22 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(staged: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a staged table for broadcast when its row count is within ``max_rows``.
+def fits_broadcast(staged: DataFrame) -> bool:
+    """Whether a staged table is within the bounds of a broadcast, in rows and bytes."""
+    size = (
+        staged.limit(BROADCAST_ROWS + 1)
+        .agg(
+            F.count("*").alias("rows"),
+            F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes"),
+        )
+        .first()
+    )
+    return size["rows"] <= BROADCAST_ROWS and (size["bytes"] or 0) <= BROADCAST_BYTES
+
+
+def broadcast_if_small(staged: DataFrame) -> DataFrame:
+    """Hint a staged table for broadcast when it fits.
 
-    Above the bound the table comes back without a hint and the join shuffles.
+    Above the bounds the table comes back without a hint and the join shuffles.
     """
-    if staged.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(staged)
-    return staged
+    return F.broadcast(staged) if fits_broadcast(staged) else staged

@@ -10,14 +10,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Put a scan of fewer splits than cores on all cores, by a unique key.
+def spread(df: DataFrame, key: str, source: DataFrame | None = None) -> DataFrame:
+    """Put rows from a scan of fewer splits than cores on all cores, by a unique key.
 
-    One small file is one task, however dear the work on its texts. A table that
+    One small file is one task, however dear the work on its texts. A scan that
     already has a split per core stays as it is: at scale nothing is shuffled here.
+    ``source`` is the scan that ``df`` was made from, when it is not one itself.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    scan = df if source is None else source
+    return df.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else df
 
 
 def write_table(

@@ -92,10 +92,16 @@ def test_hot_book_and_order_of_rows(spark):
 def test_beyond_the_bound_the_broadcast_form_shuffles(spark, monkeypatch):
     pages, known = CASES["prefix clash"]
     monkeypatch.setattr(session, "BROADCAST_ROWS", 1)
-    assert not books.fits_broadcast(spark.createDataFrame(known, BOOKS))
+    assert not session.fits_broadcast(spark.createDataFrame(known, BOOKS))
     assert restored(spark, pages, known, "broadcast") == brute_force(pages, known)
 
 
+def test_long_titles_count_as_bytes(spark, monkeypatch):
+    monkeypatch.setattr(session, "BROADCAST_BYTES", 1000)
+    assert session.fits_broadcast(spark.createDataFrame([("X", 1, [])], BOOKS))
+    assert not session.fits_broadcast(spark.createDataFrame([("X" * 2000, 1, [])], BOOKS))
+
+
 def test_no_nested_loop_and_no_product(spark):
     facts = spark.createDataFrame([(1, "Page:A/1", ["x"])], PAGES)
     known = spark.createDataFrame([("A", 1, ["y"])], BOOKS)
