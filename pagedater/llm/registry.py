@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagedater.llm import packing, warc
+from pagedater.llm import packing, simhash, warc
 from pagedater.llm.common import table
 from pagedater.session import staging_path
 
@@ -16,12 +16,17 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_index(warc.deduplicated_archives(table(spark, sf_dir, "pages"), path))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": op3_warc,
+    "op5_simhash": op5_simhash,
     "op10_packing": op10_packing,
 }
 
