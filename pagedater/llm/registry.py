@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagedater.llm import packing, simhash, warc
+from pagedater.llm import packing, secrets, simhash, warc
 from pagedater.llm.common import table
 from pagedater.session import staging_path
 
@@ -20,6 +20,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
@@ -27,6 +31,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": op3_warc,
     "op5_simhash": op5_simhash,
+    "op9_secrets": op9_secrets,
     "op10_packing": op10_packing,
 }
 
