@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagedater.llm import packing, secrets, simhash, warc
+from pagedater.llm import language, packing, quality, secrets, simhash, warc
 from pagedater.llm.common import table
 from pagedater.session import staging_path
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = staging_path(spark, "warc")
     return warc.archive_index(warc.deduplicated_archives(table(spark, sf_dir, "pages"), path))
@@ -20,6 +24,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
@@ -29,8 +37,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": op2_quality,
     "op3_warc": op3_warc,
     "op5_simhash": op5_simhash,
+    "op7_language": op7_language,
     "op9_secrets": op9_secrets,
     "op10_packing": op10_packing,
 }
