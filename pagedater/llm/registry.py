@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagedater.llm import language, packing, quality, secrets, simhash, warc
+from pagedater.llm import decontaminate, language, packing, quality, secrets, simhash, warc
 from pagedater.llm.common import table
 from pagedater.session import staging_path
 
@@ -24,6 +24,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.occurrences(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_warc": op3_warc,
     "op5_simhash": op5_simhash,
+    "op6_decontaminate": op6_decontaminate,
     "op7_language": op7_language,
     "op9_secrets": op9_secrets,
     "op10_packing": op10_packing,
