@@ -5,12 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pagedater.llm import decontaminate, language, packing, quality, secrets, simhash, warc
+from pagedater.llm import decontaminate, language, packing, quality, secrets, simhash, topk, warc
 from pagedater.llm.common import table
 from pagedater.session import staging_path
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -41,6 +46,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_topk": op1_topk,
     "op2_quality": op2_quality,
     "op3_warc": op3_warc,
     "op5_simhash": op5_simhash,
@@ -50,19 +56,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": op10_packing,
 }
 
+OP1 = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select q.vec_id as query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0
+), ranked as (
+  select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::integer as rank,
+         vec_id, score
+  from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 10
+"""
+
 OP3 = """
 with p as (
   select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as hex from pages
 ), parts as (
   select page_id, octet_length(encode(payload)) as payload_bytes, hex,
-         list_transform(range(32), i -> (
-           list_reduce(list_transform(range(5), j -> (
+         list_transform(range(32), lambda i: (
+           list_reduce(list_transform(range(5), lambda j: (
              ((strpos('0123456789abcdef', substr(hex, (i * 5 + j) // 4 + 1, 1)) - 1) >> (3 - (i * 5 + j) % 4)) & 1
-           )), (a, b) -> a * 2 + b))) as digits
+           )), lambda a, b: a * 2 + b))) as digits
   from p
 ), d as (
   select page_id, payload_bytes,
-         list_aggregate(list_transform(digits, x -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', x::int + 1, 1)),
+         list_aggregate(list_transform(digits, lambda x: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', x::int + 1, 1)),
                         'string_agg', '') as payload_digest
   from parts
 ), o as (
@@ -74,4 +98,4 @@ select page_id, payload_bytes::bigint as payload_bytes, payload_digest,
 from o
 """
 
-ORACLES: dict[str, str] = {"op3_warc": OP3}
+ORACLES: dict[str, str] = {"op1_topk": OP1, "op3_warc": OP3}

@@ -60,15 +60,20 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, fp) of whole texts; null, empty and blank texts have fp 0."""
+    """(doc_id, text_key, fp) of whole texts; null, empty and blank texts have fp 0.
+
+    ``text_key`` is a hash of the text, to tell rows of one id apart.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(text, shingle) for text in batch.column("text").to_pylist()]
             fps = pa.array(np.array(found, np.uint64).view(np.int64), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), fps], ["doc_id", "fp"])
+            columns = [batch.column("doc_id").cast(pa.int64()), batch.column("text_key"), fps]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "fp"])
 
-    return picked(docs, "doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    keyed = picked(docs, "doc_id", "text").withColumn("text_key", F.xxhash64("text"))
+    return keyed.mapInArrow(run, "doc_id long, text_key long, fp long")
 
 
 def _masks(low: int, high: int, most: int) -> list[int]:
@@ -138,18 +143,36 @@ def links(fps: DataFrame) -> DataFrame:
     return out.unionByName(stars).distinct()
 
 
+def grouped(prints: DataFrame) -> DataFrame:
+    """Add ``root``, the same for all fingerprints (fp) that links join."""
+    distinct = stage(prints.select("fp").distinct(), "distinct")
+    roots = components(links(distinct)).withColumnRenamed("node", "fp")
+    return prints.join(distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "fp")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """(doc_id, fingerprint, component_id) of all documents (doc_id, text).
 
     Repeated rows come back repeated. A null doc_id gets its component, of which it can't
     be the smallest id; a component of nothing but null ids has a null id.
     """
-    prints = stage(fingerprints(docs, shingle), "fingerprints")
-    least = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = components(links(least.select("fp")))
-    of_fp = least.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    ids = of_fp.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = of_fp.join(ids, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select(
+    rows = stage(grouped(stage(fingerprints(docs, shingle), "fingerprints")), "grouped")
+    ids = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(ids, "root").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(docs: DataFrame, shingle: int = 5) -> DataFrame:
+    """One document of each near-duplicate group, with all its columns: the smallest doc_id.
+
+    Null ids come after others; rows with equal id and text count as one.
+    """
+    rows = grouped(stage(fingerprints(docs, shingle), "fingerprints"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("first")
+    kept = rows.groupBy("root").agg(first).select(
+        F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key")
+    )
+    keyed = docs.withColumn("_text_key", F.xxhash64(docs["text"]))
+    met = keyed["doc_id"].eqNullSafe(kept["_id"]) & (keyed["_text_key"] == kept["_key"])
+    return keyed.join(kept, met, "left_semi").dropDuplicates(["doc_id", "_text_key"]).select(*docs.columns)
