@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -25,3 +25,20 @@ def learnable(key: str, modulus: int, remainder: int) -> Column:
 def picked(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so that no other column can clash with working names."""
     return df.select(*(df[name] for name in names))
+
+
+def smallest_hashes(df: DataFrame, label: str, key: Column, most: int) -> DataFrame:
+    """A bounded sample: the rows of each label with the ``most`` smallest hashes of ``key``.
+
+    Only labels and hashes are ranked; the rows themselves are read once more and filtered
+    by the last hash of their label, so no row of the sample is shuffled. Labels must be few.
+    """
+    order = Window.partitionBy("label").orderBy("hash")
+    ranked = df.select(F.col(label).alias("label"), F.xxhash64(key).alias("hash"))
+    first = ranked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
+    last = first.groupBy("label").agg(F.max("hash").alias("last")).collect()
+    wanted = F.lit(False)
+    for row in last:
+        wanted = wanted | ((F.col(label) == F.lit(row["label"])) & (F.xxhash64(key) <= F.lit(row["last"])))
+    # Rows that share a hash with the last one would exceed the bound.
+    return df.filter(wanted).limit(most * max(1, len(last)))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagedater.llm.common import held_out, learnable, picked
+from pagedater.llm.common import held_out, learnable, picked, smallest_hashes
 
 #: Bound of the fit: so many texts over all languages, the same number of each (5 at least),
 #: in hash order, of texts up to SAMPLE_BYTES. Prediction has no bounds.
@@ -122,13 +122,10 @@ def fit(docs: DataFrame, texts: int = SAMPLE_TEXTS, text_bytes: int = SAMPLE_BYT
     languages = [r["lang"] for r in usable.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect()]
     if len(languages) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    samples: list[tuple[str, str]] = []
     each = max(5, texts // max(1, len(languages)))
     short = usable.filter(F.octet_length("text") <= text_bytes)
-    for lang in sorted(languages):
-        rows = short.filter(F.col("lang") == lang).select("text").orderBy(F.xxhash64("doc_id", "text")).limit(each)
-        samples += [(lang, row["text"]) for row in rows.collect()]
-    return train(samples)
+    rows = smallest_hashes(short, "lang", F.struct("doc_id", "text"), each).select("lang", "text").collect()
+    return train(sorted((row["lang"], row["text"]) for row in rows))
 
 
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:

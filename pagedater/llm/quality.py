@@ -18,11 +18,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagedater.llm.common import held_out, learnable, picked
+from pagedater.llm.common import held_out, learnable, picked, smallest_hashes
+from pagedater.session import stage
 
 #: Bound of the fit: so many texts per label for the dictionaries and as many for the
 #: calibration, in hash order, of texts up to SAMPLE_BYTES. Scoring has no bounds.
-SAMPLE_TEXTS = 1500
+SAMPLE_TEXTS = 1000
 SAMPLE_BYTES = 1 << 15
 DICTIONARY_BYTES = 1 << 16
 BLOCK = 1024
@@ -113,30 +114,42 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.
     return w
 
 
-def fit(labelled: DataFrame, texts: int = SAMPLE_TEXTS, text_bytes: int = SAMPLE_BYTES) -> Model:
-    """Fit on rows (doc_id, text, quality) that may be learned from.
+def fit(docs: DataFrame, labels: DataFrame, texts: int = SAMPLE_TEXTS, text_bytes: int = SAMPLE_BYTES) -> Model:
+    """Fit on the documents (doc_id, text) that ``labels`` (doc_id, quality) marks.
 
-    The sample is at most 2 x ``texts`` per label in hash order of the whole input; half of
-    it makes the dictionaries, the other half the calibration, weighted to the labels' true
-    shares. With one label or none, every score is the share of good labels (a half where
-    there is none).
+    Held-out ids are not learned from. A document with labels of both kinds counts as bad;
+    a null label counts as none. The sample is at most 2 x ``texts`` per label in hash order
+    of the whole input; half of it makes the dictionaries, the other half the calibration,
+    weighted to the labels' true shares. With one label or none, every score is the share of
+    good labels (a half where there is none).
     """
-    usable = picked(labelled, "doc_id", "text", "quality").filter(
-        F.col("quality").isin(0, 1) & (F.octet_length(F.coalesce("text", F.lit(""))) > 0)
+    marks = (
+        picked(labels, "doc_id", "quality")
+        .filter(learnable("doc_id", 4, 2) & F.col("quality").isin(0, 1))
+        .groupBy("doc_id")
+        .agg(F.min("quality").alias("quality"))
     )
+    # Sizes meet the labels, not texts.
+    sizes = picked(docs, "doc_id", "text").select("doc_id", F.octet_length("text").alias("size"))
+    usable = stage(sizes.filter(F.col("size") > 0).join(marks, "doc_id").select("doc_id", "quality", "size"), "labelled")
     shares = {row["quality"]: row["n"] for row in usable.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     total = sum(shares.values())
     prior = shares.get(1, 0) / total if total else 0.5
+    short = usable.filter(F.col("size") <= text_bytes).select("doc_id", "quality").distinct()
+    sample = smallest_hashes(short, "quality", F.col("doc_id"), 2 * texts)
+    # At most 4 x texts ids: a bounded broadcast, whatever the input.
+    rows = (
+        picked(docs, "doc_id", "text")
+        .filter(F.octet_length("text").between(1, text_bytes))
+        .join(F.broadcast(sample), "doc_id")
+        .select("quality", "text", F.xxhash64("doc_id").alias("hash"))
+        .limit(8 * texts)
+        .collect()
+    )
     halves: dict[tuple[int, int], list[bytes]] = {}
     for label in (0, 1):
-        rows = (
-            usable.filter((F.col("quality") == label) & (F.octet_length("text") <= text_bytes))
-            .select("text")
-            .orderBy(F.xxhash64("doc_id", "text"))
-            .limit(2 * texts)
-            .collect()
-        )
-        data = [row["text"].encode("utf-8", "surrogatepass") for row in rows]
+        own = sorted((row["hash"], row["text"]) for row in rows if row["quality"] == label)
+        data = [text.encode("utf-8", "surrogatepass") for _, text in own]
         halves[label, 0], halves[label, 1] = data[0::2], data[1::2]
     made = Dictionaries(dictionary(halves[1, 0]), dictionary(halves[0, 0]))
     width = 8
@@ -163,23 +176,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return picked(docs, "doc_id", "text").mapInArrow(run, SCORES)
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts with their quality label, without the held-out ones.
-
-    A document with labels of both kinds counts as bad; a null label counts as none.
-    """
-    marks = (
-        picked(labels, "doc_id", "quality")
-        .filter(learnable("doc_id", 4, 2) & F.col("quality").isNotNull())
-        .groupBy("doc_id")
-        .agg(F.min("quality").alias("quality"))
-    )
-    return picked(docs, "doc_id", "text").join(marks, "doc_id")
-
-
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score and predicted (1 from ``threshold`` on) per document."""
-    scores = score(docs, fit(labelled(docs, labels)))
+    scores = score(docs, fit(docs, labels))
     return scores.select(
         "doc_id",
         held_out("doc_id", 4, 2).alias("held_out"),
@@ -193,7 +192,7 @@ def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
 
     The score is joined to nothing: it is computed beside the row it decides on.
     """
-    model = fit(labelled(docs, labels))
+    model = fit(docs, labels)
 
     @F.pandas_udf("double")
     def scored(texts):

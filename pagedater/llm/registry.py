@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagedater.llm import decontaminate, language, packing, quality, secrets, simhash, topk, warc
+from pagedater.llm import attention, decontaminate, language, packing, quality, secrets, simhash, topk, warc
 from pagedater.llm.common import table
 from pagedater.session import staging_path
 
@@ -37,6 +37,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op8_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention.scores(table(spark, sf_dir, "documents"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash": op5_simhash,
     "op6_decontaminate": op6_decontaminate,
     "op7_language": op7_language,
+    "op8_attention": op8_attention,
     "op9_secrets": op9_secrets,
     "op10_packing": op10_packing,
 }

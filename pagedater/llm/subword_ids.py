@@ -10,12 +10,15 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 # One encoder per worker process and tokenizer file, kept between tasks.
 _ENCODERS: dict[str, Encoder] = {}
+_WORD_ENCODERS: dict[str, WordEncoder] = {}
 
-CACHED_PARTS = 500_000
+CACHED_PARTS = 200_000
+#: Characters whose parts are held at once.
+CHARS_AT_ONCE = 1 << 20
 
 
 class Encoder:
@@ -39,7 +42,18 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
 
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
+    def encode(self, texts: Sequence[str]) -> Iterator[bytes]:
+        """Ids of each text, whole; texts are cut into parts a few at a time."""
+        some, held = [], 0
+        for text in texts:
+            some.append(text)
+            held += len(text)
+            if held >= CHARS_AT_ONCE:
+                yield from self._encode(some)
+                some, held = [], 0
+        yield from self._encode(some)
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         cache, out, parts_of, new = self.cache, [], [], set()
         for text in texts:
             if self.WHOLE.search(text):
@@ -65,6 +79,43 @@ class Encoder:
         return out
 
 
+class WordEncoder:
+    """Ids of single words, each with a space before it, as unsigned 16-bit bytes.
+
+    ``path`` is a vocabulary of ranks under 65,536.
+    """
+
+    def __init__(self, path: str, cached_words: int = CACHED_PARTS) -> None:
+        import base64
+
+        import public_tokenizers
+        import tiktoken
+
+        with open(path, "rb") as lines:
+            ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines)}
+        pattern = public_tokenizers.PATTERN
+        self.ids = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.ranks = ranks
+        self.limit = cached_words
+        self.cache: dict[bytes, bytes] = {}
+
+    def encode(self, words: Sequence[Sequence[bytes]]) -> list[bytes]:
+        """Per text (a list of words) the ids of all its words, one after the other."""
+        cache = self.cache
+        new = [w for w in set().union(*words) if w not in cache]
+        made = {w: array("H", self.ids(f" {w.decode('utf-8', 'replace')}")).tobytes() for w in new}
+        if len(cache) + len(made) <= self.limit:
+            cache.update(made)
+            return [b"".join(map(cache.__getitem__, text)) for text in words]
+        return [b"".join([cache[w] if w in cache else made[w] for w in text]) for text in words]
+
+
+def word_encoder(path: str) -> WordEncoder:
+    if path not in _WORD_ENCODERS:
+        _WORD_ENCODERS[path] = WordEncoder(path)
+    return _WORD_ENCODERS[path]
+
+
 def encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
