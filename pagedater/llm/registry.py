@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagedater.llm import attention, decontaminate, language, packing, quality, secrets, simhash, topk, warc
+from pagedater.llm import attention, decontaminate, language, packing, quality, secrets, simhash, suffixes, topk, warc
 from pagedater.llm.common import table
 from pagedater.session import staging_path
 
@@ -25,6 +25,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_index(warc.deduplicated_archives(table(spark, sf_dir, "pages"), path))
 
 
+def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
     "op2_quality": op2_quality,
     "op3_warc": op3_warc,
+    "op4_suffixes": op4_suffixes,
     "op5_simhash": op5_simhash,
     "op6_decontaminate": op6_decontaminate,
     "op7_language": op7_language,
