@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 # One encoder per worker process and tokenizer file, kept between tasks.
 _ENCODERS: dict[str, Encoder] = {}
@@ -85,7 +85,7 @@ class WordEncoder:
     ``path`` is a vocabulary of ranks under 65,536.
     """
 
-    def __init__(self, path: str, cached_words: int = CACHED_PARTS) -> None:
+    def __init__(self, path: str, cached_words: int = 2 * CACHED_PARTS) -> None:
         import base64
 
         import public_tokenizers
@@ -94,20 +94,27 @@ class WordEncoder:
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines)}
         pattern = public_tokenizers.PATTERN
-        self.ids = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.ranks = ranks
-        self.limit = cached_words
-        self.cache: dict[bytes, bytes] = {}
+        encoding = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.cache = _Words(encoding.encode_ordinary, cached_words)
 
     def encode(self, words: Sequence[Sequence[bytes]]) -> list[bytes]:
         """Per text (a list of words) the ids of all its words, one after the other."""
-        cache = self.cache
-        new = [w for w in set().union(*words) if w not in cache]
-        made = {w: array("H", self.ids(f" {w.decode('utf-8', 'replace')}")).tobytes() for w in new}
-        if len(cache) + len(made) <= self.limit:
-            cache.update(made)
-            return [b"".join(map(cache.__getitem__, text)) for text in words]
-        return [b"".join([cache[w] if w in cache else made[w] for w in text]) for text in words]
+        look = self.cache.__getitem__
+        return [b"".join(map(look, text)) for text in words]
+
+
+class _Words(dict):
+    """Ids by word; beyond the bound a new word is encoded again each time."""
+
+    def __init__(self, encode: Callable[[str], list[int]], limit: int) -> None:
+        self.encode, self.limit = encode, limit
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = array("H", self.encode(f" {word.decode('utf-8', 'replace')}")).tobytes()
+        if len(self) < self.limit:
+            self[word] = ids
+        return ids
 
 
 def word_encoder(path: str) -> WordEncoder:
