@@ -13,7 +13,8 @@ from __future__ import annotations
 import heapq
 import math
 import zlib
-from collections.abc import Iterator
+from bisect import insort
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -81,37 +82,46 @@ def token_pieces(
     return picked(docs, "doc_id", "text").mapInArrow(run, PIECES)
 
 
-def differencing(sizes: np.ndarray, k: int) -> np.ndarray:
-    """Part (0 to k-1) of each size, by largest differencing into k parts."""
+def differencing(sizes: Sequence[int], k: int) -> np.ndarray:
+    """Part (0 to k-1) of each size, by largest differencing into k parts.
+
+    A partial partition lists the sums and nodes of its filled parts, smallest first; the
+    heap hands out those with the largest difference between greatest and least part.
+    """
     n = len(sizes)
     left, right = list(range(n)), [-1] * n
-    heap = []
-    for i in range(n):
-        sums, nodes = np.zeros(k, np.int64), np.full(k, -1, np.int64)
-        sums[0], nodes[0] = sizes[i], i
-        heap.append((-int(sizes[i]), i, sums, nodes))
+    heap = [(-int(size), i, [(int(size), i)]) for i, size in enumerate(sizes)]
     heapq.heapify(heap)
     tie = n
     while len(heap) > 1:
-        _, _, sums, nodes = heapq.heappop(heap)
-        _, _, other, more = heapq.heappop(heap)
-        sums, more = sums + other[::-1], more[::-1]
-        both = (nodes >= 0) & (more >= 0)
-        joined = np.where(nodes >= 0, nodes, more)
-        joined[both] = np.arange(len(left), len(left) + int(both.sum()))
-        left.extend(nodes[both].tolist())
-        right.extend(more[both].tolist())
-        order = np.argsort(-sums, kind="stable")
-        sums, joined = sums[order], joined[order]
-        heapq.heappush(heap, (int(sums[-1] - sums[0]), tie, sums, joined))
+        _, _, own = heapq.heappop(heap)
+        _, _, other = heapq.heappop(heap)
+        if len(own) < len(other):
+            own, other = other, own
+        over = len(own) + len(other) - k
+        if over <= 0:
+            # Room for all: each part of one stands beside an empty part of the other.
+            for part in other:
+                insort(own, part)
+        else:
+            # Smallest beside largest: the fullest parts of either stay alone, as far as there is room.
+            made = own[over:] + other[over:]
+            for (a, x), (b, y) in zip(own[:over], reversed(other[:over])):
+                left.append(x)
+                right.append(y)
+                made.append((a + b, len(left) - 1))
+            made.sort()
+            own = made
+        least = own[0][0] if len(own) == k else 0
+        heapq.heappush(heap, (least - own[-1][0], tie, own))
         tie += 1
     part = np.zeros(n, np.int64)
-    for k_, top in enumerate(heap[0][3].tolist() if heap else []):
-        stack = [top] if top >= 0 else []
+    for number, (_, top) in enumerate(heap[0][2] if heap else []):
+        stack = [top]
         while stack:
             node = stack.pop()
             if node < n:
-                part[node] = k_
+                part[node] = number
             else:
                 stack += (left[node], right[node])
     return part
@@ -121,7 +131,7 @@ def windows_of(sizes: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """Window of each piece: as few as the sum needs, one more whenever one overflows."""
     k = max(1, -(-int(sizes.sum()) // window))
     while True:
-        part = differencing(sizes, k)
+        part = differencing(sizes.tolist(), k)
         if len(sizes) == 0 or np.bincount(part, weights=sizes, minlength=k).max() <= window:
             return part
         k += 1

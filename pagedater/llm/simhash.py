@@ -5,10 +5,11 @@ flips from each. All variants of a 64-bit word within two flips are 2,081, too m
 shuffle for every text, so the ball is entered in two steps, each exact. Of r = 4 differing
 bits one 32-bit half has at most two: every fingerprint first emits the variants of each
 half within half of that, 33 per half, and only fingerprints that meet another in a half
-go on. Two that meet alone are compared. Where more meet, each emits the variants of the
-whole word within two flips that go with this half's variant; all that share such a variant
-lie within four bits of each other, so one link from each to the smallest of them holds the
-group together, and a group costs as many links as it has members.
+go on. Up to PAIRED that meet are compared, and only links that join them are passed on.
+Where more meet, each emits the variants of the whole word within two flips that go with
+this half's variant; all that share such a variant lie within four bits of each other, so one
+link from each to the smallest of them holds the group together. Either way a group costs no
+more links than it has members.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from pagedater.session import stage
 RADIUS = 4
 SEED = 42
 HASHES_AT_ONCE = 1 << 17
+#: Most fingerprints that meet in a half and are compared with each other in a task.
+PAIRED = 2048
 
 
 def words_of(text: str | None) -> bytes:
@@ -91,6 +94,45 @@ def _flips(masks: list[int]) -> Column:
     return F.array(*(F.lit(x).cast("long") for x in masks))
 
 
+def joining(fps: np.ndarray) -> list[tuple[int, int]]:
+    """Links that join what lies within RADIUS: for each new member one to where it was met."""
+    out = []
+    # Bits of signed numbers are counted in their absolute value.
+    fps = fps.view(np.uint64)
+    left = np.arange(len(fps))
+    while len(left):
+        # Spread from the first that is left, a wave at a time.
+        wave, left = left[:1], left[1:]
+        while len(wave) and len(left):
+            apart = np.bitwise_count(fps[wave][:, None] ^ fps[left][None, :]) <= RADIUS
+            met = apart.any(0)
+            found = left[met]
+            pairs = fps.view(np.int64)
+            out += zip(pairs[found].tolist(), pairs[wave[apart[:, met].argmax(0)]].tolist())
+            wave, left = found, left[~met]
+    return out
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of groups that come sorted by (low, variant)."""
+
+    def done(held: list[int]) -> pa.RecordBatch:
+        pairs = joining(np.array(held, np.int64))
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (list(zip(*pairs)) or [[], []])], ["a", "b"])
+
+    held: list[int] = []
+    now = None
+    for batch in batches:
+        for low, variant, fp in zip(*(batch.column(c).to_pylist() for c in ("low", "variant", "fp"))):
+            if (low, variant) != now and held:
+                yield done(held)
+                held = []
+            now = (low, variant)
+            held.append(fp)
+    if held:
+        yield done(held)
+
+
 def links(fps: DataFrame) -> DataFrame:
     """Links (a, b) that join all distinct fingerprints (fp long) within RADIUS bits.
 
@@ -121,11 +163,15 @@ def links(fps: DataFrame) -> DataFrame:
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("fp_min"))) <= RADIUS
     pairs = met.filter((F.col("n") == 2) & (F.col("fp") != F.col("fp_min")) & near)
     out = pairs.select(F.col("fp").alias("a"), F.col("fp_min").alias("b"))
+    some = met.filter((F.col("n") > 2) & (F.col("n") <= PAIRED)).select("low", "variant", "fp")
+    out = out.unionByName(
+        some.repartition("low", "variant").sortWithinPartitions("low", "variant").mapInArrow(_compared, "a long, b long")
+    )
 
     variants = None
     for low in (0, 32):
         other = (32, 64) if low == 0 else (0, 32)
-        many = met.filter((F.col("n") > 2) & (F.col("low") == low))
+        many = met.filter((F.col("n") > PAIRED) & (F.col("low") == low))
         for flipped, masks in ((False, _masks(*other, 2)), (True, _masks(*other, 1))):
             part = many.filter((F.col("own") != F.col("variant")) == F.lit(flipped)).select(
                 "fp",
