@@ -35,11 +35,14 @@ def local_session(cpus: int | str = "*", app: str = "pagedater") -> SparkSession
 def staging_root(spark: SparkSession) -> str:
     """Shared folder for staged tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset (tests
-    on one machine) a fresh temporary folder is made for the session.
+    A cluster names it in ``spark.checkpoint.dir``; without it this is an error there.
+    Only on one machine (tests) a fresh temporary folder is made for the session.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if root is None:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pagedater-"))
         root = spark.sparkContext.getCheckpointDir()
     return root
