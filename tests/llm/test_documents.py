@@ -302,7 +302,7 @@ def test_pieces_are_the_tokenizers_ids(spark, odd):
 
     tokenizer = Tokenizer.from_file(vocabulary_path())
     tokenizer.encode_special_tokens = True
-    extra = [(900, "<|endoftext|> it's we'll  ''s\t\t1²½ İǅ ﬁ café\n\n x \n y  z"), (901, " lead\n trail \n")]
+    extra = [(5900, "<|endoftext|> it's we'll  ''s\t\t1²½ İǅ ﬁ café\n\n x \n y  z"), (5901, " lead\n trail \n")]
     docs = spark.read.parquet(f"{GATE}/documents.parquet").select("doc_id", "text")
     docs = docs.unionByName(spark.createDataFrame(extra, docs.schema)).unionByName(
         odd.select("doc_id", "text").filter("doc_id in (1, 2, 3, 6, 7)").withColumn("doc_id", F.col("doc_id") + 2000)
