@@ -235,26 +235,51 @@ def test_base_scores_and_model(documents):
         assert row["score"] < 0
 
 
+def test_held_out_texts_beat_the_base(spark):
+    found = attention.scores(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).filter("held_out")
+    score, base = found.selectExpr("sum(score)", "sum(base_score)").first()
+    assert score > base
+
+
 def test_windows_score_each_id_once():
     draw = np.random.default_rng(1)
     ids = [np.r_[draw.integers(0, 300, n), attention.END_ID] for n in (0, 1, 23, 24, 25, 44, 45, 300)]
     counts = np.bincount(np.concatenate(ids), minlength=attention.IDS)
-    starts = attention.word_starts(vocabulary_path(attention.VOCABULARY))
-    model = attention.with_words(attention.train(ids, counts, starts), ids, {b"the": 5, b"of": 2}, 3, 20, vocabulary_path(attention.VOCABULARY))
+    model = attention.fitted(ids, counts, {b"the": 5, b"of": 2}, 1, 3, 20, vocabulary_path(attention.VOCABULARY))
     whole = model.next_logs(ids)
-    assert len(whole) == sum(map(len, ids))
-    alone = np.concatenate([model.next_logs([t]) for t in ids])
+    assert len(whole[0]) == len(whole[1]) == sum(map(len, ids))
+    alone = np.concatenate([model.next_logs([t]) for t in ids], axis=1)
     assert np.allclose(whole, alone, atol=1e-5)
-    # Probabilities of all ids after one context add up to one.
+    # Probabilities of all ids after one context add up to one, with the end of the word before.
     context = np.full((attention.IDS, attention.WINDOW), attention.END_ID)
     following = context.copy()
     following[:, 0] = np.arange(attention.IDS)
-    some = np.concatenate([model.windows(context[i : i + 2000], following[i : i + 2000])[:, 0] for i in range(0, attention.IDS, 2000)])
+    some = np.concatenate([sum(model.windows(context[i : i + 2000], following[i : i + 2000]))[:, 0] for i in range(0, attention.IDS, 2000)])
     assert np.exp(some.astype(float)).sum() == pytest.approx(1, abs=1e-3)
     # What comes later in a window changes nothing before it.
     changed = ids[-1].copy()
     changed[200:] = 7
-    assert np.allclose(model.next_logs([ids[-1]])[:200], model.next_logs([changed])[:200], atol=1e-5)
+    for one, other in zip(model.next_logs([ids[-1]]), model.next_logs([changed])):
+        assert np.allclose(one[:200], other[:200], atol=1e-5)
+    # Texts scored together get what each gets alone.
+    assert np.allclose(model.scores(ids), [model.scores([t])[0] for t in ids], atol=1e-4)
+
+
+def test_words_of_a_text_add_up_to_one():
+    """All words of up to two ids after a text, copies among them, have at most probability one."""
+    the, of = (attention.word_encoder(vocabulary_path(attention.VOCABULARY)).encode([[w]])[0] for w in (b"the", b"of"))
+    text = np.frombuffer((the + of) * 20, "<u2").astype(np.int64)
+    end = np.array([attention.END_ID])
+    ids = [np.r_[text, end]] * 3
+    counts = np.bincount(np.concatenate(ids), minlength=attention.IDS)
+    model = attention.fitted(ids, counts, {b"the": 50, b"of": 20}, 0, 3, 100, vocabulary_path(attention.VOCABULARY))
+    assert (attention.earlier(np.array([5, 3, 5, 5, 3], np.uint64)) == [0, 0, 1, 2, 1]).all()
+    # An end id after the word makes each score the word's and a certain end's; the word's share is what differs.
+    begins = np.flatnonzero(model.starts)
+    before = model.scores([text])[0]
+    after = np.array(model.scores([np.r_[text, i] for i in begins]))
+    # The end of the last word is paid for as soon as a word follows; without it the sum would stay below one too.
+    assert 0.3 < (10 ** (after - before)).sum() < 1 + 1e-3
 
 
 ASSIGN = re.compile(secrets.ASSIGN)
