@@ -17,6 +17,7 @@ SCAN_PREFIX = "Page:"
 INDEX_PREFIX = "Livre:"
 VALIDATED = "Textes validés"
 EMBED_TAG = "<pages "
+UNPARSED = ("nowiki", "pre", "math", "syntaxhighlight")
 
 # Patterns.
 COMMENT = r"(?s)<!--.*?(?:-->|\z)"
@@ -61,26 +62,34 @@ def where_found(text: Column, mark: str, rewrite: Callable[[Column], Column]) ->
 
 
 def nesting(text: Column, opening: str, closing: str) -> Column:
-    """Upper bound of the nesting depth of a bracket pair, per row."""
-    marks = F.regexp_extract_all(text, F.lit(f"{opening}|{closing}"), F.lit(0))
+    """Upper bound of the nesting depth of a bracket pair, per row.
+
+    The depth counts where a bracket meets its partner, read from either end, so that
+    brackets without one add no passes.
+    """
     start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("deepest"))
 
-    def step(state: Column, mark: Column) -> Column:
-        deeper = state["depth"] + 1
-        return F.when(
-            mark.rlike(opening),
-            F.struct(
-                deeper.alias("depth"),
-                F.greatest(state["deepest"], deeper).alias("deepest"),
-            ),
-        ).otherwise(
-            F.struct(
-                F.greatest(state["depth"] - 1, F.lit(0)).alias("depth"),
-                state["deepest"].alias("deepest"),
+    def deepest(marks: Column, entering: str) -> Column:
+        def step(state: Column, mark: Column) -> Column:
+            return F.when(
+                mark.rlike(entering),
+                F.struct(
+                    (state["depth"] + 1).alias("depth"),
+                    state["deepest"].alias("deepest"),
+                ),
+            ).otherwise(
+                F.struct(
+                    F.greatest(state["depth"] - 1, F.lit(0)).alias("depth"),
+                    F.greatest(state["deepest"], state["depth"]).alias("deepest"),
+                )
             )
-        )
 
-    return F.aggregate(marks, start, step, lambda state: state["deepest"])
+        return F.aggregate(marks, start, step, lambda state: state["deepest"])
+
+    marks = F.regexp_extract_all(text, F.lit(f"{opening}|{closing}"), F.lit(0))
+    return bind(
+        marks, lambda m: F.least(deepest(m, opening), deepest(F.reverse(m), closing))
+    )
 
 
 def rewrite_nested(
@@ -102,6 +111,15 @@ def drop_comments(text: Column) -> Column:
     return where_found(text, "<!--", lambda t: F.regexp_replace(t, COMMENT, ""))
 
 
+def live(text: Column) -> Column:
+    """Text without comments and without elements whose content is no markup."""
+    text = drop_comments(text)
+    for name in UNPARSED:
+        element = rf"(?s)<{name}(?:\s[^<>]*[^<>/])?>.*?</{name}>"
+        text = where_found(text, f"</{name}>", lambda t, e=element: F.regexp_replace(t, e, ""))
+    return text
+
+
 def drop_templates(text: Column) -> Column:
     return rewrite_nested(text, TEMPLATE, "", r"\{\{", r"\}\}")
 
@@ -147,7 +165,7 @@ def plain_text(text: Column) -> Column:
 
 def category_names(text: Column) -> Column:
     """Sorted set of the category names a page links to."""
-    names = F.regexp_extract_all(drop_comments(text), F.lit(CATEGORY_NAME), F.lit(1))
+    names = F.regexp_extract_all(live(text), F.lit(CATEGORY_NAME), F.lit(1))
     names = F.transform(names, lambda n: F.regexp_replace(n, r"\s+\z", ""))
     return F.array_sort(F.array_distinct(F.filter(names, lambda n: n != "")))
 
@@ -158,7 +176,7 @@ def template_calls(text: Column) -> Column:
     An outer call is listed with its inner calls blanked.
     """
     start = F.struct(
-        drop_comments(text).alias("rest"),
+        live(text).alias("rest"),
         F.array().cast("array<string>").alias("calls"),
     )
 
@@ -169,7 +187,7 @@ def template_calls(text: Column) -> Column:
             F.concat(state["calls"], found).alias("calls"),
         )
 
-    levels = F.array_repeat(F.lit(0), nesting(drop_comments(text), r"\{\{", r"\}\}"))
+    levels = F.array_repeat(F.lit(0), nesting(live(text), r"\{\{", r"\}\}"))
     return F.aggregate(levels, start, peel, lambda state: state["calls"])
 
 
@@ -180,7 +198,7 @@ def argument_value(argument: Column) -> Column:
 
 def text_quality(text: Column) -> Column:
     """Quality of the last ``TextQuality`` template, 0-100; NULL when unreadable."""
-    marks = F.regexp_extract_all(drop_comments(text), F.lit(TEXT_QUALITY), F.lit(1))
+    marks = F.regexp_extract_all(live(text), F.lit(TEXT_QUALITY), F.lit(1))
     return bind(
         argument_value(F.try_element_at(marks, F.lit(-1))),
         lambda value: F.when(value == VALIDATED, F.lit(100)).otherwise(
@@ -206,7 +224,7 @@ def embeds_by_tag(text: Column) -> Column:
 
 
 def embeds_by_template(text: Column) -> Column:
-    return drop_comments(text).rlike(EMBED_TEMPLATE_CALL)
+    return live(text).rlike(EMBED_TEMPLATE_CALL)
 
 
 def transcludes(text: Column) -> Column:
@@ -222,7 +240,7 @@ def embed_target_tag(text: Column) -> Column:
 
 def embed_target_template(text: Column) -> Column:
     """Book named by the first argument of the first ``page`` template, or NULL."""
-    argument = F.regexp_extract(drop_comments(text), EMBED_TEMPLATE, 1)
+    argument = F.regexp_extract(live(text), EMBED_TEMPLATE, 1)
     return nonempty(argument_value(argument))
 
 
@@ -241,7 +259,7 @@ def embed_target(text: Column, title: Column) -> Column:
 
 def index_years(text: Column) -> Column:
     """Sorted set of the first year or range of each date field of an index page."""
-    index = F.regexp_extract(drop_comments(text), INDEX_TEMPLATE, 0)
+    index = F.regexp_extract(live(text), INDEX_TEMPLATE, 0)
     fields = F.regexp_extract_all(index, F.lit(INDEX_YEAR_FIELDS), F.lit(1))
     years = F.transform(fields, lambda f: F.regexp_extract(f, YEAR_RANGE, 0))
     return F.array_sort(F.array_distinct(F.filter(years, lambda y: y != "")))

@@ -215,6 +215,7 @@ ORACLES: dict[str, str] = {
         " from raw_years group by semicentury"
     ),
     "s1_read_dump": _corpus("select id as page_id, title, format, text from dumped"),
+    "s1_rejected": "select concat('T', doc_id) as title, doc_id % 10 in (3, 7) as rejected from documents where text is not null",
     "s2_read_table": "select doc_id, lang, source, n_chars from documents",
     "s3_write_table": "select doc_id, text, lang, source, n_chars from documents",
     "s4_write_csv": "select doc_id, lang, text from documents",

@@ -146,6 +146,24 @@ def s1_read_dump(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def s1_rejected(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as a dump in which every tenth page has an unreadable number, and others a stray tag."""
+    doc_id = F.col("doc_id")
+    number = F.when(doc_id % 10 == 3, F.lit("x")).otherwise(doc_id.cast("string"))
+    stray = F.when(doc_id % 10 == 7, F.lit("<b>")).otherwise(F.lit(""))
+    escaped = F.replace(F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    page = F.concat(
+        F.lit("<page><title>T"), doc_id, F.lit("</title><ns>0</ns><id>"), number, F.lit("</id><revision><id>1</id><text>"),
+        escaped, stray, F.lit("</text></revision></page>"),
+    )
+    path = session.staging_path(spark, "damaged")
+    documents(spark, sf).filter("text is not null").select(page.alias("value")).write.text(path)
+    bad = dump.rejected_pages(spark, path).select("title", F.lit(True).alias("rejected"))
+    good = dump.read_dump(spark, path, "drop").select("title", F.lit(False).alias("rejected"))
+    return bad.unionByName(good)
+
+
 @query
 def s2_read_table(spark: SparkSession, sf: str) -> DataFrame:
     return documents(spark, sf).select("doc_id", "lang", "source", "n_chars")
@@ -582,7 +600,7 @@ def m3_naive_bayes_table(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def m4_mlp(spark: SparkSession, sf: str) -> DataFrame:
-    return _predicted(spark, sf, "mlp", max_iter=50)
+    return _predicted(spark, sf, "mlp")
 
 
 @query

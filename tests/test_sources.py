@@ -55,6 +55,35 @@ def test_read_dump(spark, dump_path):
     assert "l'an & <i>mil</i>" in rows["Texte"].revision.text._VALUE
 
 
+def test_damaged_pages_harm_no_other(spark, tmp_path):
+    page = "<page><title>{}</title><ns>0</ns><id>{}</id>\n<revision><id>{}</id><text>{}</text></revision></page>"
+    cells = [("A", 1, 1, "a"), ("B", 2, "x", "b"), ("C", 3, 3, "c <b> d"), ("D", 4, 4, "d &lt;/page&gt; e"), ("E", 5, 5, "e")]
+    whole = "<mediawiki><siteinfo />" + "".join(page.format(*c) for c in cells)
+    path = tmp_path / "damaged.xml.bz2"
+    path.write_bytes(bz2.compress((whole + "<page><title>F</title><ns>0</ns><id>6</id><revision><id>6</id><text>cut o").encode()))
+    kept = dump.read_dump(spark, str(path), "drop").collect()
+    assert {r.title: r.revision.text._VALUE for r in kept} == {"A": "a", "D": "d </page> e", "E": "e"}
+    assert sorted(r.title for r in dump.rejected_pages(spark, str(path)).collect()) == ["B", "C", "F"]
+    with pytest.raises(Exception, match="damaged page"):
+        dump.read_dump(spark, str(path)).select("title").collect()
+
+
+def test_dump_of_several_splits_is_whole(spark, tmp_path):
+    rows = "".join(
+        f"<page><title>T{i}</title><ns>0</ns><id>{i}</id><revision><id>{i}</id><text>{os.urandom(600).hex()}</text></revision></page>\n"
+        for i in range(4000)
+    )
+    path = tmp_path / "large.xml.bz2"
+    path.write_bytes(bz2.compress(f"<mediawiki>{rows}</mediawiki>".encode(), 1))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 300_000)
+    try:
+        found = dump.read_dump(spark, str(path))
+        assert found.rdd.getNumPartitions() > 2
+        assert sorted(r.id for r in found.select("id").collect()) == list(range(4000))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_dump_to_labels(spark, dump_path, scratch):
     kept = extraction.dump_pages(spark, dump_path)
     assert {r.title for r in kept.collect()} == {"Texte", "Livre:L.djvu", "Page:L.djvu/1"}
