@@ -8,6 +8,9 @@ passes as the row nests levels.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from html.entities import name2codepoint
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -38,10 +41,23 @@ EMBED_ELEMENT = r"<pages [^>]+/>"
 EMBED_INDEX = r'index="([^"]+)"'
 EMBED_TEMPLATE = r"\{\{(?i:page)\|([^{}|]*)"
 EMBED_TEMPLATE_CALL = r"\{\{(?i:page)(?:\||\}\})"
-INDEX_TEMPLATE = r"(?is)\{\{[^{}|]*proofreadpage_index_template.*"
-INDEX_YEAR_FIELDS = r"\|(?:Annee|Publication)=([^{}|]*(?:\{\{[^{}]*\}\}[^{}|]*)*)"
+INDEX_TEMPLATE = r"(?i)\{\{[^{}|]*proofreadpage_index_template"
+INDEX_YEAR_FIELDS = r"(?s)^(?:Annee|Publication)=.*"
+INNER_CALL = r"\{\{[^{}]*\}\}"
+INNER_LINK = r"\[\[[^\[\]]*\]\]"
 YEAR_RANGE = r"[0-9]{4}(?:-[0-9]{4})?"
 NUMERIC = r"^\p{N}+\z"
+ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+UNPARSED_ELEMENT = "(?s)" + "|".join(
+    rf"<{name}(?:\s[^<>]*[^<>/])?>.*?</{name}>" for name in UNPARSED
+)
+UNPARSED_CONTENT = r"(?s)^<[^<>]*>(.*)</[a-z]+>\z"
+
+# Characters of markup, and code points that no text may hold to stand for them.
+# The last one only says that a text has some.
+MARKUP = "{}[]<>'|"
+MASKS = "".join(chr(0xFDD0 + i) for i in range(len(MARKUP)))
+MASKED = chr(0xFDD0 + len(MARKUP))
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -107,6 +123,74 @@ def rewrite_nested(
     )
 
 
+def rewrite_matches(text: Column, pattern: str, rewrite: Callable[[Column], Column]) -> Column:
+    """Put ``rewrite(match)`` in the place of every match of a pattern."""
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), rewrite)
+    parts = F.arrays_zip(F.split(text, pattern, -1).alias("before"), found.alias("match"))
+    pairs = F.transform(parts, lambda p: F.array(p["before"], F.coalesce(p["match"], F.lit(""))))
+    return F.array_join(F.flatten(pairs), "")
+
+
+def mask(text: Column) -> Column:
+    """Markup characters as their stand-ins, so that no pattern sees them."""
+    return F.translate(text, MARKUP, MASKS)
+
+
+def mask_nested(text: Column, pattern: str, opening: str, closing: str) -> Column:
+    """Mask innermost matches once per nesting level."""
+    return where_found(
+        text,
+        opening.replace("\\", ""),
+        lambda t: F.aggregate(
+            F.array_repeat(F.lit(0), nesting(t, opening, closing)),
+            t,
+            lambda rest, _: rewrite_matches(rest, pattern, mask),
+        ),
+    )
+
+
+def mask_unparsed(text: Column) -> Column:
+    """Elements whose content is no markup, as that content with its markup masked."""
+
+    def content(element: Column) -> Column:
+        return F.concat(F.lit(MASKED), mask(F.regexp_replace(element, UNPARSED_CONTENT, "$1")))
+
+    return bind(
+        text,
+        lambda t: F.when(
+            reduce(or_, [F.contains(t, F.lit(f"</{name}>")) for name in UNPARSED]),
+            rewrite_matches(t, UNPARSED_ELEMENT, content),
+        ).otherwise(t),
+    )
+
+
+def unmask(text: Column) -> Column:
+    return where_found(text, MASKED, lambda t: F.translate(t, MASKS + MASKED, MARKUP))
+
+
+def code_point(number: Column) -> Column:
+    """The character of a number; NULL where there is none."""
+    valid = ((number > 0) & (number < 0xD800)) | ((number > 0xDFFF) & (number < 0x110000))
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+
+
+def decode_entities(text: Column) -> Column:
+    """Numbered and named (HTML 4) character entities as characters; others stay."""
+    pairs = "\x01".join(f"{name}\x02{chr(n)}" for name, n in sorted(name2codepoint.items()))
+    named = F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
+
+    def decoded(entity: Column) -> Column:
+        name = F.substring(entity, F.lit(2), F.length(entity) - 2)
+        digits = F.substring(name, F.lit(2), F.length(name))
+        hexadecimal = F.substring(name, F.lit(3), F.length(name))
+        number = F.when(
+            F.lower(name).startswith("#x"), F.conv(hexadecimal, 16, 10).try_cast("int")
+        ).when(name.startswith("#"), digits.try_cast("int"))
+        return F.coalesce(code_point(number), F.try_element_at(named, name), entity)
+
+    return where_found(text, "&", lambda t: rewrite_matches(t, ENTITY, decoded))
+
+
 def drop_comments(text: Column) -> Column:
     return where_found(text, "<!--", lambda t: F.regexp_replace(t, COMMENT, ""))
 
@@ -158,9 +242,16 @@ def drop_quotes(text: Column) -> Column:
 
 
 def plain_text(text: Column) -> Column:
-    """Wikitext to plain text: comments, templates, tables, tags, links, quotes."""
-    text = drop_tags(drop_tables(drop_templates(drop_comments(text))))
-    return drop_quotes(unwrap_links(strip_prefixed_links(text)))
+    """Wikitext to plain text: comments, templates, tables, tags, links, quotes, entities.
+
+    What stands in ``nowiki``, ``pre``, ``math`` and ``syntaxhighlight`` stays as written.
+    Tables go whole: their cells are headings and figures, not running text. Entities
+    come last and once, so that what they spell is no markup.
+    """
+    text = mask_unparsed(drop_comments(text))
+    text = drop_tags(drop_tables(drop_templates(text)))
+    text = drop_quotes(unwrap_links(strip_prefixed_links(text)))
+    return decode_entities(unmask(text))
 
 
 def category_names(text: Column) -> Column:
@@ -258,8 +349,26 @@ def embed_target(text: Column, title: Column) -> Column:
 
 
 def index_years(text: Column) -> Column:
-    """Sorted set of the first year or range of each date field of an index page."""
-    index = F.regexp_extract(live(text), INDEX_TEMPLATE, 0)
-    fields = F.regexp_extract_all(index, F.lit(INDEX_YEAR_FIELDS), F.lit(1))
+    """Sorted set of the first year or range of each date field of an index page.
+
+    Only arguments of the index template itself count, with all that their value holds:
+    inner links and calls are masked, so that the first closing is the template's own.
+    A template that never closes has no arguments.
+    """
+
+    def arguments(rest: Column) -> Column:
+        inner = mask_nested(rest, INNER_LINK, r"\[\[", r"\]\]")
+        inner = mask_nested(inner, INNER_CALL, r"\{\{", r"\}\}")
+        call = bind(
+            inner,
+            lambda t: F.when(F.contains(t, F.lit("}}")), F.substring_index(t, "}}", 1)).otherwise(""),
+        )
+        return F.split(call, r"\|")
+
+    after = F.split(live(text), INDEX_TEMPLATE, -1)
+    calls = F.slice(after, F.lit(2), F.size(after))
+    fields = F.filter(
+        F.flatten(F.transform(calls, arguments)), lambda f: f.rlike(INDEX_YEAR_FIELDS)
+    )
     years = F.transform(fields, lambda f: F.regexp_extract(f, YEAR_RANGE, 0))
     return F.array_sort(F.array_distinct(F.filter(years, lambda y: y != "")))

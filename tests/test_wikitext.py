@@ -49,6 +49,11 @@ def test_category_names(spark, text, expected):
         ("[[Auteur:A B]]. [[s:en:Foo]]", ". :Foo"),
         ("a\n{| class=x\n| b\n|}\nc", "a\n\nc"),
         ("plain, with {braces} and [1]", "plain, with {braces} and [1]"),
+        ("l&#39;an&nbsp;mil &eacute; &#x1F600;", "l'an\u00a0mil é \U0001f600"),
+        ("&amp;lt; &lt;b&gt; &unknown; &#0; &#xD800; &#1114112; & x; &", "&lt; <b> &unknown; &#0; &#xD800; &#1114112; & x; &"),
+        ("a<nowiki>{{b}} [[c|d]] ''e'' &amp;</nowiki>f{{g}}", "a{{b}} [[c|d]] ''e'' &f"),
+        ("<pre>\n{|\n|}\n</pre><math>x_{{1}}</math>", "\n{|\n|}\nx_{{1}}"),
+        ("&#91;[A]] &#123;{b}}", "[[A]] {{b}}"),
     ],
 )
 def test_plain_text(spark, text, expected):
@@ -146,6 +151,12 @@ def test_transcludes(spark, text, expected):
         ("|Annee={{lien|x|1854}}\n|Titre=1700", ["1854"]),
         ("|Annee=MDCC|Titre=1700|Annees=1600", []),
         ("| Annee=1854", []),
+        ("|Annee=[[A|1854]]", ["1854"]),
+        ("|Annee={{a|{{b|1854}}}}|Titre={{x|Annee=1700}}", ["1854"]),
+        ("|Remarques={{x|Annee=1700}} [[y|Annee=1710]]", []),
+        ("|Titre=x}} {{autre|Annee=1700", []),
+        ("|Titre=x}} {{proofreadpage_index_template|Annee=1854", ["1854"]),
+        ("|Annee={{x|[[y|1854]]}} <!-- |Annee=1700 -->", ["1854"]),
     ],
 )
 def test_index_years(spark, fields, expected):
@@ -155,6 +166,7 @@ def test_index_years(spark, fields, expected):
 
 def test_index_years_need_the_index_template(spark):
     assert value(spark, wt.index_years, "{{other|Annee=1854}}") == []
+    assert value(spark, wt.index_years, "{{proofreadpage_index_template|Annee=1854") == []
 
 
 def test_page_templates_lists_inner_calls_first(spark):
