@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagedater.llm import decontaminate, packing, quality, secrets, simhash
+from pagedater.llm import decontaminate, packing, quality, secrets, similar
 from pagedater.llm.common import DOCUMENT_COLUMNS, table
 from pagedater.session import staging_path
 
@@ -20,8 +20,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
-    return simhash.one_of_each(docs).select(*DOCUMENT_COLUMNS)
+    """Of each group of texts with a shingle similarity of 0.8 the document with the smallest id stays."""
+    return similar.one_of_each(docs).select(*DOCUMENT_COLUMNS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -209,12 +209,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 4) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """One document of each near-duplicate group, with all its columns: the smallest doc_id.
-
-    Null ids come after others; rows with equal id and text count as one.
-    """
-    rows = grouped(stage(fingerprints(docs, shingle), "fingerprints"))
+def first_of_each(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The documents with the smallest id of each root of ``rows`` (doc_id, text_key, root)."""
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("first")
     kept = rows.groupBy("root").agg(first).select(
         F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key")
@@ -222,3 +218,11 @@ def one_of_each(docs: DataFrame, shingle: int = 5) -> DataFrame:
     keyed = docs.withColumn("_text_key", F.xxhash64(docs["text"]))
     met = keyed["doc_id"].eqNullSafe(kept["_id"]) & (keyed["_text_key"] == kept["_key"])
     return keyed.join(kept, met, "left_semi").dropDuplicates(["doc_id", "_text_key"]).select(*docs.columns)
+
+
+def one_of_each(docs: DataFrame, shingle: int = 5) -> DataFrame:
+    """One document of each near-duplicate group, with all its columns: the smallest doc_id.
+
+    Null ids come after others; rows with equal id and text count as one.
+    """
+    return first_of_each(docs, grouped(stage(fingerprints(docs, shingle), "fingerprints")))

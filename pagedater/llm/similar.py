@@ -1,0 +1,218 @@
+"""Near copies by the Jaccard similarity of their word shingles, found by SimHash.
+
+Two texts are linked when their sets of five-word shingles have a similarity of 0.8 or more;
+each link is verified on the exact sets. A 64-bit fingerprint does not find such pairs: at
+0.8 one bit in seven differs. So many independent fingerprints of a few bits are made, and
+two texts are candidates when they are within RADIUS bits in any of them, met at variants of
+half the radius. ``plan`` sets the width and number of fingerprints so that a pair at 0.8 is
+found with RECALL, and texts that have nothing in common meet rarely. Bits of texts with few
+shingles are far from normal; these meet without loss: of sets with similarity s some of the
+least (1 - s) n + 1 hashes are shared.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from pagedater.llm.common import picked
+from pagedater.llm.components import components
+from pagedater.llm.simhash import SEED, first_of_each, words_of
+from pagedater.session import broadcast_if_small, stage
+
+SHINGLE = 5
+#: Sets a and b are similar when 9 |a & b| >= 4 (|a| + |b|), which is a Jaccard similarity of 0.8.
+SIMILAR = 0.8
+RECALL = 0.97
+RADIUS = 2
+#: Texts without anything in common that a text may meet by chance, on average.
+BY_CHANCE = 32
+#: Sets up to this size meet by their least hashes; those of SHORT * SIMILAR and more by fingerprints.
+SHORT = 50
+#: Most that meet and are all compared at once; of more, first each with the smallest.
+PAIRED = 64
+HASHES_AT_ONCE = 1 << 14
+#: Share of bits that differ at similarity 0.8: the angle of two sets of one size.
+DIFFERING = math.acos(2 * SIMILAR / (1 + SIMILAR)) / math.pi
+
+
+def plan(texts: int) -> tuple[int, int]:
+    """(bits of a fingerprint, fingerprints) for so many texts."""
+    for width in range(12, 49):
+        ball = [math.comb(width, d) for d in range(RADIUS + 1)]
+        met = sum(n * DIFFERING**d * (1 - DIFFERING) ** (width - d) for d, n in enumerate(ball))
+        count = math.ceil(math.log(1 - RECALL) / math.log(1 - met))
+        if texts * count * sum(ball) / 2**width <= BY_CHANCE:
+            break
+    return width, count
+
+
+def shingle_set(text: str | None) -> np.ndarray:
+    """Sorted hashes of a text's distinct shingles; a shorter text is one shingle, a blank one none."""
+    line = words_of(text)
+    if not line:
+        return np.zeros(0, np.uint64)
+    spaces = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
+    starts = [0, *(spaces + 1).tolist()]
+    ends = [*spaces.tolist(), len(line)]
+    width = min(SHINGLE, len(ends))
+    digest = xxhash.xxh64_intdigest
+    hashes = (digest(line[a:b], SEED) for a, b in zip(starts, ends[width - 1 :]))
+    return np.unique(np.fromiter(hashes, np.uint64, len(ends) - width + 1))
+
+
+def _mixed(hashes: np.ndarray, word: int) -> np.ndarray:
+    """Independent words from one hash (the finisher of SplitMix64)."""
+    x = hashes + np.uint64((word + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def bits_of(hashes: np.ndarray, words: int) -> np.ndarray:
+    """64 bits a word, each set where it is set in over half of the hashes."""
+    set_bits = np.zeros(64 * words, np.int64)
+    for at in range(0, len(hashes), HASHES_AT_ONCE):
+        some = hashes[at : at + HASHES_AT_ONCE]
+        for word in range(words):
+            bits = np.unpackbits(_mixed(some, word).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            set_bits[64 * word : 64 * word + 64] += bits.sum(axis=0, dtype=np.int32)
+    return set_bits * 2 > len(hashes)
+
+
+def sketches(docs: DataFrame, width: int, count: int) -> DataFrame:
+    """(doc_id, text_key, node, n, least, prints, fp) of whole texts.
+
+    ``node`` is a hash of the shingle set and ``n`` its size; ``least`` are the hashes by
+    which short sets meet, ``prints`` the fingerprints of others, ``fp`` all their bits.
+    """
+    words = -(-width * count // 64)
+    powers = 1 << np.arange(width, dtype=np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[], [], [], [], []]
+            for text in batch.column("text").to_pylist():
+                hashes = shingle_set(text)
+                n = len(hashes)
+                node = xxhash.xxh64_intdigest(hashes.tobytes(), SEED) - (1 << 63)
+                # The least floor(n / 5) + 1 of n: what is left is under 0.8 of the set.
+                least = hashes[: n // 5 + 1].view(np.int64).tolist() if n <= SHORT else []
+                prints, fp = [], []
+                if n >= SHORT * SIMILAR:
+                    bits = bits_of(hashes, words)
+                    prints = (bits[: width * count].reshape(count, width) @ powers).tolist()
+                    fp = np.packbits(bits, bitorder="little").view(np.int64).tolist()
+                for column, value in zip(out, (node, n, least, prints, fp)):
+                    column.append(value)
+            kinds = (pa.int64(), pa.int32(), *[pa.list_(pa.int64())] * 3)
+            columns = [batch.column("doc_id").cast(pa.int64()), batch.column("text_key")]
+            columns += [pa.array(column, kind) for column, kind in zip(out, kinds)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "node", "n", "least", "prints", "fp"])
+
+    keyed = picked(docs, "doc_id", "text").withColumn("text_key", F.xxhash64("text"))
+    schema = "doc_id long, text_key long, node long, n int, least array<long>, prints array<long>, fp array<long>"
+    return keyed.mapInArrow(run, schema)
+
+
+def meetings(sets: DataFrame, width: int) -> DataFrame:
+    """(bucket, node, n, members, first): where distinct sets meet others."""
+    flips = F.array(*(F.lit(x).cast("long") for x in (0, *(1 << i for i in range(width)))))
+    prints = sets.select("node", "n", F.posexplode("prints").alias("at", "own"))
+    prints = prints.select("node", "n", "at", "own", F.explode(flips).alias("flip")).select(
+        F.shiftleft(F.col("at").cast("long"), 48).bitwiseOR(F.col("own").bitwiseXOR(F.col("flip"))).alias("bucket"),
+        "node",
+        "n",
+    )
+    rows = prints.unionByName(sets.select(F.explode("least").alias("bucket"), "node", "n"))
+    met = Window.partitionBy("bucket")
+    return rows.select(
+        "*", F.count("*").over(met).alias("members"), F.min("node").over(met).alias("first")
+    ).filter("members > 1")
+
+
+def _close(a: str, b: str) -> Column:
+    """Whether sizes allow a similarity of 0.8."""
+    return 5 * F.least(a, b) >= 4 * F.greatest(a, b)
+
+
+def similar(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, count: int) -> DataFrame:
+    """Those of the candidate pairs (a, b) whose exact shingle sets are similar.
+
+    Pairs whose fingerprints differ in more bits, all together, than one similar pair in
+    100,000 are left out before.
+    """
+    total = 64 * -(-width * count // 64)
+    most = int(total * DIFFERING + 4.5 * math.sqrt(total * DIFFERING * (1 - DIFFERING)))
+    bits = sets.select("node", "fp")
+    named = lambda frame, name: frame.select(F.col("node").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in frame.columns[1:]))
+    apart = F.aggregate(F.zip_with("fp_a", "fp_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    # Where one of the two has no fingerprints, there is nothing to compare.
+    near = (F.size("fp_a") == 0) | (F.size("fp_b") == 0) | (apart <= most)
+    pairs = pairs.distinct().join(named(bits, "a"), "a").join(named(bits, "b"), "b").filter(near).select("a", "b")
+    pairs = stage(pairs, "candidates")
+
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    keys = broadcast_if_small(stage(sets.select("node", "text_key").join(wanted, "node", "left_semi"), "wanted"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_set(text).view(np.int64).tolist() for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(found, pa.list_(pa.int64()))], ["node", "hashes"]
+            )
+
+    texts = picked(docs, "text").withColumn("text_key", F.xxhash64("text")).join(keys, "text_key").select("node", "text")
+    exact = stage(texts.mapInArrow(run, "node long, hashes array<long>").dropDuplicates(["node"]), "exact")
+    both = pairs.join(named(exact, "a"), "a").join(named(exact, "b"), "b")
+    shared = F.size(F.array_intersect("hashes_a", "hashes_b"))
+    return stage(both.filter(9 * shared >= 4 * (F.size("hashes_a") + F.size("hashes_b"))).select("a", "b"), "similar")
+
+
+def grouped(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, root), root the same for all texts that similar pairs join."""
+    width, count = plan(docs.count())
+    rows = stage(sketches(docs, width, count), "sketches")
+    # One text stands for all with its shingles.
+    sets = stage(rows.drop("doc_id").dropDuplicates(["node"]), "sets")
+    met = stage(meetings(sets, width), "meetings")
+
+    left, right = met.alias("x"), met.alias("y")
+    pair = (F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    few = left.filter(F.col("members") <= PAIRED).join(
+        right.filter(F.col("members") <= PAIRED),
+        (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node")) & _close("x.n", "y.n"),
+    )
+    hot = met.filter(F.col("members") > PAIRED)
+    star = hot.filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    found = similar(few.select(*pair).unionByName(star), sets, docs, width, count)
+    roots = components(found)
+    if not hot.isEmpty():
+        # What the smallest of a bucket doesn't already join is compared with all of other groups.
+        rooted = hot.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        firsts = roots.select(F.col("node").alias("first"), F.col("root").alias("first_root"))
+        rooted = rooted.join(firsts, "first", "left").withColumn("first_root", F.coalesce("first_root", "first"))
+        rooted = stage(rooted, "rooted")
+        strays = rooted.filter("root != first_root").alias("x").join(
+            rooted.alias("y"),
+            (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") != F.col("y.root")) & _close("x.n", "y.n"),
+        )
+        between = strays.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+        found = found.unionByName(similar(between, sets, docs, width, count))
+        roots = components(found)
+    joined = rows.select("doc_id", "text_key", "node").join(roots, "node", "left")
+    return joined.select("doc_id", "text_key", F.coalesce("root", "node").alias("root"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One document of each group of near copies, with all its columns: the smallest doc_id.
+
+    Null ids come after others; rows with equal id and text count as one.
+    """
+    return first_of_each(docs, grouped(docs))

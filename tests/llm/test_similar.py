@@ -1,0 +1,108 @@
+"""Near copies against brute-force Jaccard similarities."""
+
+import random
+
+import numpy as np
+import pytest
+
+from pagedater.llm import simhash, similar
+from tests.llm.test_documents import nothing, odd, reach  # noqa: F401
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+def shingles(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def edited(draw, words, share):
+    return [f"new{draw.randrange(10**9)}" if draw.random() < share else w for w in words]
+
+
+def near_copies(seed, pairs):
+    draw = random.Random(seed)
+    texts = []
+    for k in range(pairs):
+        words = [f"w{draw.randrange(5000)}" for _ in range(draw.choice([9, 20, 45, 60, 150, 400, 900]))]
+        texts += [" ".join(words), " ".join(edited(draw, words, draw.choice([0.005, 0.01, 0.015, 0.02])))]
+    return texts
+
+
+def brute(texts, at_least):
+    sets = [shingles(t) for t in texts]
+    return [(i, i + 1) for i in range(0, len(texts), 2) if jaccard(sets[i], sets[i + 1]) >= at_least]
+
+
+def roots(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r["doc_id"]: r["root"] for r in similar.grouped(docs).collect()}
+
+
+def test_recall_against_brute_force(spark):
+    texts = near_copies(1, 600)
+    found = roots(spark, texts)
+    expected = brute(texts, 0.8)
+    sets = [simhash.fingerprint(t, 5) for t in texts]
+    old = sum((sets[i] ^ sets[j]).bit_count() <= 4 for i, j in expected)
+    met = sum(found[i] == found[j] for i, j in expected)
+    assert len(expected) > 300 and old < 0.8 * len(expected)
+    assert met >= similar.RECALL * len(expected)
+    # And nothing less similar: pairs are independent of each other.
+    below = set((i, i + 1) for i in range(0, len(texts), 2)) - set(expected)
+    assert len(below) > 30 and all(found[i] != found[j] for i, j in below)
+
+
+def test_plan_holds_at_the_threshold():
+    for texts in (10, 10**5, 10**8):
+        width, count = similar.plan(texts)
+        words = -(-width * count // 64)
+        draw, met = np.random.default_rng(2), 0
+        for _ in range(150):
+            union = draw.integers(0, 2**63, 500).astype(np.uint64)
+            bits = [similar.bits_of(s, words)[: width * count].reshape(count, width) for s in (union[:450], union[50:])]
+            met += ((bits[0] ^ bits[1]).sum(1) <= similar.RADIUS).any()
+        assert met >= 0.93 * 150
+
+
+@pytest.mark.parametrize("paired", [similar.PAIRED, 1])
+def test_families_are_whole(spark, monkeypatch, paired):
+    # With a bound of 1 every bucket takes the path of hot ones.
+    monkeypatch.setattr(similar, "PAIRED", paired)
+    draw = random.Random(4)
+    texts = []
+    for size in (30, 200):
+        for _ in range(6):
+            words = [f"w{draw.randrange(5000)}" for _ in range(size)]
+            texts += [" ".join(edited(draw, words, 0.01)) for _ in range(12)]
+    sets = [shingles(t) for t in texts]
+    find = reach([(i, j) for i in range(len(sets)) for j in range(i) if jaccard(sets[i], sets[j]) >= 0.8])
+    found = roots(spark, texts)
+    expected = {i: find(i) for i in range(len(texts))}
+    first = {r: min(i for i in found if found[i] == r) for r in found.values()}
+    wrong = sum(first[found[i]] != expected[i] for i in expected)
+    assert wrong <= 0.03 * len(texts)
+
+
+def test_odd_and_empty_texts(spark, odd, nothing):  # noqa: F811
+    kept = sorted(r["doc_id"] for r in similar.one_of_each(odd).collect() if r["doc_id"] is not None)
+    assert kept == [1, 4, 5, 6, 7, 8, 8]
+    assert similar.one_of_each(nothing).collect() == []
+
+
+def test_the_stage_finds_edited_copies(spark):
+    import corpus_pipeline
+
+    draw = random.Random(6)
+    rows = []
+    for k in range(40):
+        words = [f"w{draw.randrange(5000)}" for _ in range(300)]
+        copy = list(words)
+        for at in range(30, 300, 60):
+            copy[at] = "edited"
+        rows += [(2 * k, " ".join(words), "en", "s", 1), (2 * k + 1, " ".join(copy), "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"] for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()}
+    assert kept == set(range(0, 80, 2))
