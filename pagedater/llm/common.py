@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagedater.session import stage
+
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -27,16 +29,23 @@ def picked(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*(df[name] for name in names))
 
 
+def least_hashes(ranked: DataFrame, most: int) -> DataFrame:
+    """The rows with the ``most`` smallest values of ``hash``."""
+    return ranked.orderBy("hash").limit(most)
+
+
 def smallest_hashes(df: DataFrame, label: str, key: Column, most: int) -> DataFrame:
     """A bounded sample: the rows of each label with the ``most`` smallest hashes of ``key``.
 
-    Only labels and hashes are ranked; the rows themselves are read once more and filtered
-    by the last hash of their label, so no row of the sample is shuffled. Labels must be few.
+    Hashes are sorted label by label, where each task passes on its ``most`` smallest only;
+    the rows themselves are read once more and filtered by the last hash of their label, so
+    no row of the sample is shuffled. Labels must be few.
     """
-    order = Window.partitionBy("label").orderBy("hash")
-    ranked = df.select(F.col(label).alias("label"), F.xxhash64(key).alias("hash"))
-    first = ranked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
-    last = first.groupBy("label").agg(F.max("hash").alias("last")).collect()
+    ranked = stage(df.select(F.col(label).alias("label"), F.xxhash64(key).alias("hash")), "hashes")
+    last = []
+    for row in ranked.select("label").distinct().collect():
+        first = least_hashes(ranked.filter(F.col("label").eqNullSafe(F.lit(row["label"]))), most)
+        last += first.groupBy("label").agg(F.max("hash").alias("last")).collect()
     wanted = F.lit(False)
     for row in last:
         wanted = wanted | ((F.col(label) == F.lit(row["label"])) & (F.xxhash64(key) <= F.lit(row["last"])))
