@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagedater.llm import attention, decontaminate, language, packing, quality, secrets, simhash, suffixes, topk, warc
+from pagedater.llm import (
+    attention,
+    decontaminate,
+    language,
+    merkle,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    suffixes,
+    token_counts,
+    topk,
+    warc,
+    whitening,
+)
 from pagedater.llm.common import table
 from pagedater.session import staging_path
 
@@ -53,6 +67,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
     "op2_quality": op2_quality,
@@ -64,6 +90,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_attention": op8_attention,
     "op9_secrets": op9_secrets,
     "op10_packing": op10_packing,
+    "op11_tokens": op11_tokens,
+    "op12_whitening": op12_whitening,
+    "op13_merkle": op13_merkle,
 }
 
 OP1 = """
@@ -108,4 +137,67 @@ select page_id, payload_bytes::bigint as payload_bytes, payload_digest,
 from o
 """
 
-ORACLES: dict[str, str] = {"op1_topk": OP1, "op3_warc": OP3}
+# crc32 bit by bit, as the language has no such function.
+OP13 = """
+with recursive d as (
+  select doc_id, lang, sha256(concat(
+           coalesce(strlen(doc_id::varchar) || ':' || doc_id::varchar, '-'), coalesce(strlen(source) || ':' || source, '-'),
+           coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::varchar) || ':' || n_chars::varchar, '-'),
+           coalesce(strlen(text) || ':' || text, '-'))) as leaf,
+         sha256(concat(
+           coalesce(strlen(doc_id::varchar) || ':' || doc_id::varchar, '-'), coalesce(strlen(source) || ':' || source, '-'),
+           coalesce(strlen(lang) || ':' || lang, '-'),
+           coalesce(strlen((n_chars + 1)::varchar) || ':' || (n_chars + 1)::varchar, '-'),
+           coalesce(strlen(text) || ':' || text, '-'))) as changed,
+         xor(list_reduce(list_prepend(4294967295::ubigint, list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::ubigint)),
+           lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)::ubigint[]),
+             lambda x, i: case when x % 2 = 1 then xor(x >> 1, 3988292384::ubigint) else x >> 1 end)), 4294967295::ubigint) as crc
+  from documents
+), l as (
+  select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos,
+         case when crc % 7 = 0 then changed else leaf end as used,
+         dense_rank() over (order by lang nulls first) - 1 as tree
+  from d
+), nodes as (
+  select 0 as lvl, tree, pos, leaf as h from l
+  union all
+  select lvl + 1, tree, pos // 2, sha256(string_agg(h, '' order by pos))
+  from (select *, count(*) over (partition by tree) as n from nodes) where n > 1
+  group by lvl, tree, pos // 2
+), subroots as (
+  select tree, max(lvl) as lvl, arg_max(h, lvl) as h from nodes group by tree
+), uppers as (
+  select 0 as lvl, tree as pos, h from subroots
+  union all
+  select lvl + 1, pos // 2, sha256(string_agg(h, '' order by pos))
+  from (select *, count(*) over () as n from uppers) where n > 1
+  group by lvl, pos // 2
+), top as (
+  select max(lvl) as lvl, arg_max(h, lvl) as h from uppers
+), steps as (
+  select l.tree, l.pos, range as step, range as lvl, l.tree as key, l.pos >> range as at, true as below
+  from l join subroots s using (tree), range(0, 64) where range < s.lvl
+  union all
+  select l.tree, l.pos, s.lvl + range, range, null, l.tree >> range, false
+  from l join subroots s using (tree), top, range(0, 64) where range < top.lvl
+), siblings as (
+  select t.tree, t.pos, t.step, coalesce(n.h, u.h) as h, t.at % 2 = 1 as on_left
+  from steps t left join nodes n on t.below and n.lvl = t.lvl and n.tree = t.key and n.pos = xor(t.at, 1)
+               left join uppers u on not t.below and u.lvl = t.lvl and u.pos = xor(t.at, 1)
+), paths as (
+  select tree, pos, string_agg(h, '' order by step) as joined,
+         list(struct_pack(h := h, on_left := on_left) order by step) as path
+  from siblings group by tree, pos
+), folds as (
+  select l.doc_id, l.leaf, s.h as subroot, top.h as root, sha256(coalesce(p.joined, '')) as proof_sha256,
+         case when p.path is null then l.used else list_reduce(
+           list_prepend(struct_pack(h := l.used, on_left := false), p.path),
+           lambda a, b: struct_pack(h := sha256(
+             case when b.h is null then a.h when b.on_left then b.h || a.h else a.h || b.h end), on_left := false)).h
+         end as folded_root
+  from l join subroots s using (tree) cross join top left join paths p using (tree, pos)
+)
+select *, folded_root = root as verified from folds
+"""
+
+ORACLES: dict[str, str] = {"op1_topk": OP1, "op3_warc": OP3, "op13_merkle": OP13}
