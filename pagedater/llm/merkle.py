@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 from hashlib import sha256
 
 import pyarrow as pa
@@ -115,10 +116,10 @@ def in_blocks(nodes: DataFrame) -> DataFrame:
 class Block:
     """The nodes of an aligned block: levels of digests, from its lowest nodes to its top."""
 
-    def __init__(self, lowest: list[str], size: int):
+    def __init__(self, lowest: list[str], size: int, most: int):
         """``size`` is that of the whole level: a tree that ends within the block ends there."""
         self.levels = [lowest]
-        for _ in range(min(HEIGHT, height(size))):
+        for _ in range(min(most, height(size))):
             below = self.levels[-1]
             self.levels.append([digest(*below[i : i + 2]) for i in range(0, len(below), 2)])
 
@@ -152,13 +153,14 @@ def version(changed: str, siblings: list[str]) -> list[str]:
 
 def tops(blocks: DataFrame) -> DataFrame:
     """The tops of blocks as nodes of the next phase."""
+    most = HEIGHT
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = batch.column(2).to_pylist()
             lowest = batch.column(3).to_pylist()
-            found = [Block(nodes, size).top for size, nodes in zip(sizes, lowest)]
-            sizes = pa.array([-(-size >> HEIGHT) for size in sizes], pa.int64())
+            found = [Block(nodes, size, most).top for size, nodes in zip(sizes, lowest)]
+            sizes = pa.array([-(-size >> most) for size in sizes], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), sizes, pa.array(found, pa.string())], names=["tree", "position", "size", "digest"]
             )
@@ -181,7 +183,7 @@ class Forest:
         ``above`` has those of each tree, as of its only block 0.
         """
         for blocks in reversed(self.phases[1:]):
-            above = stage(_with_paths(blocks, above).mapInArrow(_paths_below, PATHS), "paths")
+            above = stage(_with_paths(blocks, above).mapInArrow(partial(_paths_below, most=HEIGHT), PATHS), "paths")
         return above
 
 
@@ -204,14 +206,14 @@ def _with_paths(blocks: DataFrame, above: DataFrame) -> DataFrame:
     return blocks.join(up, same).select("tree", "size", "nodes", "path", "subroot", "root")
 
 
-def _paths_below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _paths_below(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """For every node of a block, its siblings up to the root."""
     kinds = [pa.string(), pa.int64(), pa.list_(pa.string()), pa.string(), pa.string()]
     names = ["tree", "block", "path", "subroot", "root"]
     for batch in batches:
         for row in batch.to_pylist():
             nodes = row["nodes"]
-            block = Block([x["digest"] for x in nodes], row["size"])
+            block = Block([x["digest"] for x in nodes], row["size"], most)
             columns = [
                 [row["tree"]] * len(nodes),
                 [x["position"] for x in nodes],
@@ -222,13 +224,13 @@ def _paths_below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
-def _audited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _audited(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """For every leaf of a block its proof, and the root that its version folds to."""
     kinds = [pa.int64(), *[pa.string()] * 5, pa.bool_(), pa.list_(pa.string())]
     names = [*(x.split()[0] for x in AUDIT.split(", ")), "copies"]
     for batch in batches:
         for row in batch.to_pylist():
-            block = Block([x["digest"] for x in row["nodes"]], row["size"])
+            block = Block([x["digest"] for x in row["nodes"]], row["size"], most)
             out = []
             for place, node in enumerate(row["nodes"]):
                 siblings = block.siblings(place) + row["path"]
@@ -257,12 +259,12 @@ def versions(docs: DataFrame, tampered: Column) -> DataFrame:
         F.lit("").alias("subroot"), F.col("digest").alias("root"),
     )
     # The siblings of every subroot; its tree's name and digest come from the numbered table.
-    at_top = _with_paths(top.phases[0], top.paths(start)).mapInArrow(_paths_below, PATHS)
+    at_top = _with_paths(top.phases[0], top.paths(start)).mapInArrow(partial(_paths_below, most=HEIGHT), PATHS)
     names = placed.select("position", F.col("name").alias("tree"), F.col("digest").alias("subroot"))
     above = at_top.select(F.col("block").alias("position"), "path", "root").join(names, "position")
     above = above.select("tree", F.lit(0).cast("long").alias("block"), "path", "subroot", "root")
     audited = _with_paths(below.phases[0], below.paths(stage(above, "above")))
-    return audited.mapInArrow(_audited, f"{AUDIT}, copies array<string>")
+    return audited.mapInArrow(partial(_audited, most=HEIGHT), f"{AUDIT}, copies array<string>")
 
 
 def every_seventh(key: str = "doc_id") -> Column:
