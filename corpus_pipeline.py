@@ -9,34 +9,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagedater.llm import decontaminate, packing, quality, secrets, similar
+from pagedater.llm import decontaminate, packing, quality, secrets, simhash
 from pagedater.llm.common import DOCUMENT_COLUMNS, table
 from pagedater.session import staging_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go; null and empty texts are scored like others."""
     return quality.good_documents(docs, table(spark, sf_dir, "labels")).select(*DOCUMENT_COLUMNS)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts with a shingle similarity of 0.8 the document with the smallest id stays."""
-    return similar.one_of_each(docs).select(*DOCUMENT_COLUMNS)
+    """Of each group that links of four-word fingerprints join the document with the smallest id stays.
+
+    Null, empty and blank texts have one fingerprint and are one group; a null id stays only
+    where its group has no other.
+    """
+    return simhash.one_of_each(docs, shingle=4).select(*DOCUMENT_COLUMNS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a benchmark passage go."""
+    """Documents with a benchmark passage go; null and empty texts have none and stay."""
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark")).select(*DOCUMENT_COLUMNS)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are blanked out; every document stays, with its length counted anew."""
+    """Secrets are blanked out; every document stays, with its length counted anew, null if the text is."""
     redacted = secrets.redact(docs.select(*DOCUMENT_COLUMNS))
     return redacted.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, packed into sequences: a row per piece."""
+    """What is left, packed into sequences: a row per piece; null and empty texts are their end id only."""
     return packing.packed_documents(docs)
 
 
