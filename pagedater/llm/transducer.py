@@ -25,11 +25,14 @@ PART = 1 << 20
 #: Characters behind a cut's place in which a place that no piece covers is looked for.
 SLACK = 64
 #: States kept compiled in one Python worker; beyond that compilation starts anew.
-MOST_STATES = 200_000
+MOST_STATES = 350_000
 #: Pairs of pieces tried by merging; beyond that they are forgotten.
 MOST_PAIRS = 2_000_000
 
 START, DEAD, FRESH = -1, -1, 0
+NEVER = float("-inf")
+#: Of the hash table: a free slot, the multiplier, and slots at first.
+EMPTY, GOLDEN, SLOTS = (1 << 64) - 1, 0x9E3779B97F4A7C15, 1 << 18
 SPACE, MARK = " ", "▁"
 
 
@@ -79,19 +82,25 @@ class Pieces:
             node = self.fail[node]
         return self.children[node].get(c, 0)
 
-    def merged(self, text: str) -> list[str]:
-        """Tokens of a short text: the best score first, the leftmost of equal ones."""
-        parts = list(text)
-        while len(parts) > 1:
-            best = max(
-                ((self.scores[a + b], -i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.scores),
-                default=None,
-            )
-            if best is None:
-                break
-            i = -best[1]
+    def stands(self, before: str, piece: str) -> bool:
+        """Whether merging leaves just these two texts (or one, after an empty one).
+
+        The best score goes first, the leftmost of equal ones.
+        """
+        parts, edge = list(before + piece), len(before)
+        scores = [self.scores.get(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+        while scores and (best := max(scores)) > NEVER:
+            i = scores.index(best)
+            if i + 1 == edge:
+                return False
+            edge -= i < edge
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return parts
+            del scores[i]
+            if i:
+                scores[i - 1] = self.scores.get(parts[i - 1] + parts[i], NEVER)
+            if i < len(scores):
+                scores[i] = self.scores.get(parts[i] + parts[i + 1], NEVER)
+        return len(parts) == 1 + bool(before)
 
     def fits(self, before: int, piece: int) -> bool:
         """Whether a piece may follow another one, or stand at a start."""
@@ -99,8 +108,7 @@ class Pieces:
         if known is None:
             if len(self.neighbours) > MOST_PAIRS:
                 self.neighbours.clear()
-            tokens = [self.texts[i] for i in (before, piece) if i != START]
-            known = self.merged("".join(tokens)) == tokens
+            known = self.stands("" if before == START else self.texts[before], self.texts[piece])
             self.neighbours[before, piece] = known
         return known
 
@@ -120,33 +128,33 @@ class Transducer:
     def clear(self) -> None:
         self.states: list[tuple[int, tuple]] = [(0, ((0, START, 0),))]
         self.numbers = {self.states[0]: FRESH}
-        self.filled = 0
-        self._room(1 << 16)
+        self._room(SLOTS)
 
     def _room(self, size: int) -> None:
         self.mask = np.uint64(size - 1)
         self.shift = np.uint64(64 - (size.bit_length() - 1))
-        self.keys = np.full(size, np.iinfo(np.uint64).max, np.uint64)
+        self.filled = 0
+        self.keys = np.full(size, EMPTY, np.uint64)
         self.next = np.zeros(size, np.int32)
         self.added = np.zeros(size, np.int32)
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return (keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+        return (keys * np.uint64(GOLDEN)) >> self.shift
 
     def _number(self, node: int, alive: dict[int, tuple[int, int]]) -> tuple[int, int]:
         """The state of live places, and the tokens up to the nearest of them."""
         if not alive:
             return DEAD, 0
-        first, deepest = alive[min(alive)][1], max(alive)
+        places = sorted(alive)
+        first, deepest = alive[places[0]][1], places[-1]
         while self.pieces.depth[node] > deepest:
             node = self.pieces.fail[node]
-        state = (node, tuple(sorted((k, token, n - first) for k, (token, n) in alive.items())))
-        if state == (0, ((0, START, 0),)):
-            return FRESH, first
-        if state not in self.numbers:
-            self.numbers[state] = len(self.states)
+        state = (node, tuple([(k, alive[k][0], alive[k][1] - first) for k in places]))
+        number = self.numbers.get(state)
+        if number is None:
+            number = self.numbers[state] = len(self.states)
             self.states.append(state)
-        return self.numbers[state], first
+        return number, first
 
     def forced(self, piece: int) -> int:
         """The state right behind a piece that is taken for granted."""
@@ -180,20 +188,18 @@ class Transducer:
         return self._number(node, after)
 
     def _insert(self, key: int, state: int, added: int) -> None:
-        slot = int(self._slot(np.array([key], np.uint64))[0])
-        empty = np.iinfo(np.uint64).max
-        while self.keys[slot] != empty:
-            if self.keys[slot] == key:
+        slot = (key * GOLDEN & EMPTY) >> int(self.shift)
+        while (held := int(self.keys[slot])) != EMPTY:
+            if held == key:
                 return
             slot = (slot + 1) & int(self.mask)
         self.keys[slot], self.next[slot], self.added[slot] = key, state, added
         self.filled += 1
 
     def _grow(self) -> None:
-        taken = self.keys != np.iinfo(np.uint64).max
+        taken = self.keys != np.uint64(EMPTY)
         old = self.keys[taken], self.next[taken], self.added[taken]
         self._room(4 * len(self.keys))
-        self.filled = 0
         for key, state, added in zip(*(x.tolist() for x in old)):
             self._insert(key, state, added)
 
@@ -204,7 +210,7 @@ class Transducer:
         wrong = np.flatnonzero(self.keys[slots] != keys)
         while len(wrong):
             held = self.keys[slots[wrong]]
-            missing = wrong[held == np.iinfo(np.uint64).max]
+            missing = wrong[held == np.uint64(EMPTY)]
             if len(missing):
                 for key in np.unique(keys[missing]).tolist():
                     self._insert(key, *self.step(key >> int(self.bits), key & ((1 << int(self.bits)) - 1)))
