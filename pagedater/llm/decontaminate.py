@@ -55,10 +55,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def closest(item: list[int], words: list[int]) -> tuple[int, int]:
-    """(edits, end) of the stretch of ``words`` closest to ``item``, the first of equals.
+def scores(item: list[int], words: list[int], low: int, high: int) -> Iterator[tuple[int, int]]:
+    """(end, edits) for every end of a stretch of ``words[low:high]``: edits of the closest one.
 
-    Myers' bit-parallel scan; the whole item must be spent, the stretch may begin anywhere.
+    Myers' bit-parallel scan; the whole item must be spent, the stretch may begin anywhere
+    from ``low`` on.
     """
     n = len(item)
     masks: dict[int, int] = defaultdict(int)
@@ -66,9 +67,8 @@ def closest(item: list[int], words: list[int]) -> tuple[int, int]:
         masks[word] |= 1 << i
     full, top = (1 << n) - 1, 1 << (n - 1)
     up, down, score = full, 0, n
-    best, at = n, 0
-    for j, word in enumerate(words):
-        eq = masks.get(word, 0)
+    for j in range(low, high):
+        eq = masks.get(words[j], 0)
         diagonal = (((eq & up) + up) ^ up) | eq | down
         plus = down | ~(diagonal | up) & full
         minus = up & diagonal
@@ -79,9 +79,35 @@ def closest(item: list[int], words: list[int]) -> tuple[int, int]:
         plus, minus = (plus << 1) & full, (minus << 1) & full
         up = minus | ~(diagonal | plus) & full
         down = plus & diagonal
-        if score < best:
-            best, at = score, j + 1
-    return best, at
+        yield j + 1, score
+
+
+def stretches(item: list[int], edits: int, words: list[int], low: int, high: int) -> Iterator[tuple[int, int, int]]:
+    """(start, end, edits) of stretches of ``words[low:high]`` within ``edits`` of ``item``.
+
+    Stretches do not overlap; of those that do the closest one is taken, the first of equals,
+    and what it leaves free on its left is searched too. Behind an end that is close enough
+    only as many words are read as an overlapping stretch can have, and the search goes on
+    behind the stretch taken: the time is in proportion to the words, however often the item
+    recurs.
+    """
+    reach = len(item) + edits
+    while high - low >= len(item) - edits:
+        first, best, end = None, edits + 1, low
+        for at, score in scores(item, words, low, high):
+            if score < best:
+                first = at if first is None else first
+                best, end = score, at
+            if first is not None and at >= first + reach:
+                break
+        if first is None:
+            return
+        back = words[max(low, end - reach) : end][::-1]
+        length = min((score, size) for size, score in scores(item[::-1], back, 0, len(back)))[1]
+        start = end - length
+        yield from stretches(item, edits, words, max(low, first - reach), start)
+        yield start, end, best
+        low = end
 
 
 class Items:
@@ -163,9 +189,11 @@ class Items:
     def search(self, text: str | None) -> list[tuple[int, int, int, int, int]]:
         return self.search_all([text])[0]
 
-    def search_all(self, texts: list[str | None]) -> list[list[tuple[int, int, int, int, int]]]:
+    def search_all(self, texts: list[str | None], once: bool = False) -> list[list[tuple[int, int, int, int, int]]]:
         """Per text (item_id, start, end, edits, item words) of occurrences, in code points.
 
+        With ``once`` a single occurrence of a text is enough.
+
         Occurrences of an item in a text do not overlap. Windows of all texts are embedded
         together.
         """
@@ -185,7 +213,7 @@ class Items:
             for k, starts, windows in self._windows(n, entries):
                 self._collide(n, k, starts, windows, starts_of)
         for k, found in starts_of.items():
-            out[k] = self._verified(texts[k], words[k], found)
+            out[k] = self._verified(texts[k], words[k], found, once)
         return out
 
     def _possible(self, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -249,7 +277,7 @@ class Items:
             for item in set(owner[low[i] : high[i]].tolist()):
                 found[item].add(int(starts[i // width]))
 
-    def _verified(self, text: str, ids: np.ndarray, starts_of: dict[int, set[int]]) -> list[tuple]:
+    def _verified(self, text: str, ids: np.ndarray, starts_of: dict[int, set[int]], once: bool) -> list[tuple]:
         lower = text.lower()
         # Lower-casing can change lengths; then words are placed by their own search.
         source = lower if len(lower) == len(text) else text
@@ -260,29 +288,22 @@ class Items:
         for item, starts in sorted(starts_of.items()):
             item_id, words, edits = self.items[item]
             n = len(words)
-            done = -1
+            done = 0
             ordered = sorted(starts)
-            while ordered:
+            at = 0
+            while at < len(ordered):
                 # Starts whose windows overlap are one neighbourhood.
-                group = [ordered.pop(0)]
-                while ordered and ordered[0] <= group[-1] + n:
-                    group.append(ordered.pop(0))
-                low, high = max(0, group[0] - edits, done), min(len(ids), group[-1] + n + edits)
-                while high - low >= n - edits:
-                    part = ids[low:high].tolist()
-                    found, end = closest(words, part)
-                    if found > edits:
-                        break
-                    back, length = closest(words[::-1], part[:end][::-1])
-                    start = end - length
+                first = at
+                while at + 1 < len(ordered) and ordered[at + 1] <= ordered[at] + n:
+                    at += 1
+                low, high = max(0, ordered[first] - edits, done), min(len(ids), ordered[at] + n + edits)
+                part = ids[low:high].tolist()
+                for start, end, found in stretches(words, edits, part, 0, len(part)):
                     out.append((item_id, spots[low + start][0], spots[low + end - 1][1], found, n))
-                    # Go on behind it, and before it in what was skipped.
-                    if start >= n - edits:
-                        first, at = closest(words, part[:start])
-                        if first <= edits:
-                            again, size = closest(words[::-1], part[:at][::-1])
-                            out.append((item_id, spots[low + at - size][0], spots[low + at - 1][1], first, n))
-                    low = done = low + end
+                    if once:
+                        return out
+                    done = low + end
+                at += 1
         return out
 
 
@@ -320,12 +341,16 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE,
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE, recall: float = RECALL) -> DataFrame:
-    """The documents without any occurrence, with all their columns."""
+    """The documents without any occurrence, with all their columns.
+
+    Null and empty texts stay; of repeated rows all stay or none. A very long text costs time
+    in proportion to its words, also where it repeats an item throughout.
+    """
 
     def without(items: Items):
         @F.pandas_udf("boolean")
         def clean(texts):
-            found = items.search_all([t if isinstance(t, str) else None for t in texts])
+            found = items.search_all([t if isinstance(t, str) else None for t in texts], once=True)
             return pd.Series([not hits for hits in found], dtype=bool)
 
         return clean
