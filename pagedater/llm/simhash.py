@@ -220,7 +220,7 @@ def first_of_each(docs: DataFrame, rows: DataFrame) -> DataFrame:
     return keyed.join(kept, met, "left_semi").dropDuplicates(["doc_id", "_text_key"]).select(*docs.columns)
 
 
-def one_of_each(docs: DataFrame, shingle: int = 5) -> DataFrame:
+def one_of_each(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """One document of each near-duplicate group, with all its columns: the smallest doc_id.
 
     Null ids come after others; rows with equal id and text count as one.

@@ -401,3 +401,59 @@ def test_leaks_unchanged_and_edited(spark):
     pairs = {(r["doc_id"], r["item_id"]) for r in found}
     assert len(planted & pairs) >= 0.97 * len(planted)
     assert {d for d, _ in pairs} <= {d for d, _ in planted}
+
+
+def test_adjacent_copies_are_all_found():
+    """Copies side by side, the last with the fewest edits, and a long text of nothing else."""
+    item = "one two three four five six seven eight nine ten".split()
+    edited = [w if i != 4 else "x" for i, w in enumerate(item)]
+    sought = decontaminate.Items([(7, " ".join(item))])
+    found = sought.search(" ".join([*edited, *edited, *edited, *item]))
+    assert [f[3] for f in found] == [1, 1, 1, 0]
+    assert len(sought.search(" ".join(item * 5000))) == 5000
+    assert len(sought.search_all([" ".join(item * 50)], once=True)[0]) == 1
+
+
+def brute_stretches(item, most, words):
+    """Ends at which a stretch of words is within ``most`` edits of the item."""
+    row = list(range(len(item) + 1))
+    ends = set()
+    for j, word in enumerate(words, 1):
+        last, row[0] = row[0], 0
+        for i, x in enumerate(item, 1):
+            last, row[i] = row[i], min(row[i] + 1, row[i - 1] + 1, last + (x != word))
+        if row[-1] <= most:
+            ends.add(j)
+    return ends
+
+
+def test_stretches_against_all_windows():
+    draw = random.Random(12)
+    for _ in range(150):
+        item = draw.choices("abcd", k=draw.randint(3, 12))
+        words = draw.choices("abcd", k=draw.randint(0, 80))
+        most = draw.randint(0, len(item) // 4)
+        found = list(decontaminate.stretches(item, most, words, 0, len(words)))
+        ends = brute_stretches(item, most, words)
+        assert all(edits(item, words[s:e]) == n <= most for s, e, n in found)
+        assert all(a[1] <= b[0] for a, b in zip(found, found[1:]))
+        # Each stretch that a full scan finds overlaps one that was taken.
+        for end in ends:
+            start = max(s for s in range(end + 1) if edits(item, words[s:end]) <= most)
+            assert any(s < end and start < e for s, e, _ in found)
+
+
+def test_documents_without_finds_hold_no_stretch(spark):
+    """Every given document against every item by a scan of all its words."""
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    marked = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.occurrences(frame, marked).collect()}
+    sought = decontaminate.Items([(r["item_id"], r["text"]) for r in marked.collect()])
+    expected = set()
+    for doc_id, text in docs:
+        words = [sought.vocabulary.get(w, 0) for w in decontaminate.WORD.findall((text or "").lower())]
+        for item_id, item, most in sought.items:
+            if any(score <= most for _, score in decontaminate.scores(item, words, 0, len(words))):
+                expected.add((doc_id, item_id))
+    assert found <= expected and len(found) >= 0.99 * len(expected)

@@ -95,7 +95,7 @@ def test_pipeline_stages(spark):
             scores = quality.classify(before, spark.read.parquet(f"{SMALL}/labels.parquet")).collect()
             assert set(kept[name]) == {r["doc_id"] for r in scores if r["predicted"] == 1}
         if name == "near_duplicates":
-            groups = simhash.near_duplicates(before, 5).collect()
+            groups = simhash.near_duplicates(before).collect()
             assert set(kept[name]) == {r["component_id"] for r in groups}
         if name == "decontamination":
             marked = spark.read.parquet(f"{SMALL}/benchmark.parquet")
