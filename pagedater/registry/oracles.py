@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from ..operators.evaluation import CONFUSION_LABELS
 from ..operators.pages import UNWANTED_NAMESPACES
-from ..operators.subwords import PIECE
-from ..operators.tokens import WORD
 from .corpus import CORPUS_SQL
-from .queries import MERGES
+
+# What the texts are cut into, written out again: words, and the pieces that subwords are made of.
+WORD = r"[^\t-\r\x1c-\x1f\x{85}\p{Z}.;,]+"
+PIECE = r"[\p{L}\p{M}]+|\p{N}{1,3}|[^\t-\r\x1c-\x1f\x{85}\p{Z}\p{L}\p{M}\p{N}]+"
+MERGES = 1000
 
 _UNWANTED = " or ".join(f"starts_with(title, '{p}')" for p in UNWANTED_NAMESPACES)
 _TEMPLATE = r"\{\{\{[^{}]*\}\}\}|\{\{[^{}]*\}\}"
@@ -212,38 +214,59 @@ _BAYES = """
         where r = 1)"""
 
 
-def _merge_ctes() -> str:
-    """Word table, and one pair of tables per merge: best pair, words rewritten."""
-    ctes = [
-        f"""pieces as materialized (
-            select doc_id, word, count(*) as n
-            from (select doc_id, unnest(regexp_extract_all(text, '{PIECE}', 0)) as word from documents)
-            group by doc_id, word)""",
-        r"""w0 as materialized (
-            select word, cast(sum(n) as bigint) as n,
-                   regexp_replace(word, '(?s)(.)', concat(chr(1), '\1', chr(2)), 'g') as symbols
-            from pieces group by word)""",
-    ]
-    for k in range(MERGES):
-        ctes.append(
-            f"""m{k} as materialized (
-            select s[i] as l, s[i + 1] as r, sum(n) as total
-            from (select n, s, unnest(range(1, len(s))) as i
-                  from (select n, regexp_extract_all(symbols, concat(chr(1), '([^', chr(2), ']+)', chr(2)), 1) as s from w{k}))
-            group by all having sum(n) >= 2 order by total desc, l, r limit 1)"""
-        )
-        ctes.append(
-            f"""w{k + 1} as materialized (
-            select word, n, replace(symbols, concat(chr(1), l, chr(2), chr(1), r, chr(2)),
-                                    concat(chr(1), l, r, chr(2))) as symbols
-            from w{k}, m{k})"""
-        )
-    return ", ".join(ctes)
+def _pairs(source: str, symbols: str, sign: str = "") -> str:
+    """Neighbours in chains of symbols, each between two marks."""
+    return rf"""
+        select s[i] as l, s[i + 1] as r, {sign} n as d
+        from (select n, s, unnest(range(1, len(s))) as i
+              from (select n, regexp_extract_all({symbols}, concat(chr(1), '([^', chr(2), ']+)', chr(2)), 1) as s from {source}))"""
 
 
-_LEARNED = " union all ".join(
-    f'select {k} as rank, l as "left", r as "right" from m{k}' for k in range(MERGES)
-)
+def _merging(documents: str = "documents") -> str:
+    """One merge a step: the words as chains, the counts of pairs, and the merges so far, all by key."""
+    return rf"""
+    pieces as materialized (
+        select doc_id, word, count(*) as n
+        from (select doc_id, unnest(regexp_extract_all(text, '{PIECE}', 0)) as word from {documents})
+        group by doc_id, word),
+    first_words as materialized (
+        select word, cast(sum(n) as bigint) as n,
+               regexp_replace(word, '(?s)(.)', concat(chr(1), '\1', chr(2)), 'g') as symbols
+        from pieces group by word),
+    first_pairs as (
+        select l, r, cast(sum(d) as bigint) as n from ({_pairs("first_words", "symbols")}) group by l, r),
+    steps(kind, a, b, symbols, n, k) using key (kind, a, b) as (
+        select 'word', word, '', symbols, n, 0 from first_words
+        union all select 'pair', l, r, '', n, 0 from first_pairs
+        union all select 'merge', '', '', '', 0, 0
+        union
+        (with best as (
+            select p.a as l, p.b as r, step.k as k
+            from (select a, b from recurring.steps where kind = 'pair' and n >= 2 order by n desc, a, b limit 1) as p,
+                 (select max(k) + 1 as k from steps where kind = 'merge') as step
+            where step.k <= {MERGES}),
+        hit as (
+            select a as word, n, symbols,
+                   replace(symbols, concat(chr(1), l, chr(2), chr(1), r, chr(2)), concat(chr(1), l, r, chr(2))) as rewritten
+            from recurring.steps, best
+            where kind = 'word' and contains(symbols, concat(chr(1), l, chr(2), chr(1), r, chr(2)))),
+        changes as (
+            select l, r, cast(sum(d) as bigint) as d
+            from ({_pairs("hit", "symbols", "-")} union all {_pairs("hit", "rewritten")})
+            group by l, r having sum(d) <> 0)
+        select 'word', word, '', rewritten, n, 0 from hit
+        union all
+        select 'pair', l, r, '', d + coalesce(n, 0), 0
+        from changes left join (select a, b, n from recurring.steps where kind = 'pair') on a = l and b = r
+        union all
+        select 'merge', cast(k as varchar), concat(l, chr(1), r), '', 0, k from best)),
+    subwords as (
+        select doc_id, token, cast(sum(n) as bigint) as n
+        from (select doc_id, pieces.n,
+                     unnest(regexp_extract_all(symbols, concat(chr(1), '([^', chr(2), ']+)', chr(2)), 1)) as token
+              from pieces join (select a as word, symbols from steps where kind = 'word') using (word))
+        group by doc_id, token)"""
+
 
 _CONFUSION = ", ".join(
     f'count(*) filter (where prediction = {label}) as "{label}"' for label in CONFUSION_LABELS
@@ -398,14 +421,11 @@ ORACLES: dict[str, str] = {
               from documents)""",
     "f1_word_tokens": f"""
         select doc_id, array_to_string(regexp_extract_all(text, '{WORD}', 0), ' ') as tokens from documents""",
-    "f2_subword_tokens": f"""
-        with {_merge_ctes()}
-        select doc_id, token, cast(sum(n) as bigint) as n
-        from (select doc_id, pieces.n,
-                     unnest(regexp_extract_all(symbols, concat(chr(1), '([^', chr(2), ']+)', chr(2)), 1)) as token
-              from pieces join w{MERGES} using (word))
-        group by doc_id, token""",
-    "f3_learn_merges": f"with {_merge_ctes()} {_LEARNED}",
+    "f2_subword_tokens": f"with recursive {_merging()} select doc_id, token, n from subwords",
+    "f3_learn_merges": f"""
+        with recursive {_merging()}
+        select k - 1 as rank, split_part(b, chr(1), 1) as "left", split_part(b, chr(1), 2) as "right"
+        from steps where kind = 'merge' and k > 0""",
     "f4_doc_frequency": f"with {_BAG} select token, df from frequencies",
     "f5_prune_vocabulary": f"with {_BAG} select token, df from vocabulary",
     "f6_bag_of_words": f"with {_BAG} select doc_id, token, n from bag",

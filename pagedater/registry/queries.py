@@ -28,7 +28,7 @@ from .corpus import CORPUS_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MERGES = 8
+MERGES = 1_000
 
 QUERIES: dict[str, Query] = {}
 
@@ -523,15 +523,19 @@ def f1_word_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return _tokenised(spark, sf).select("doc_id", F.array_join("tokens", " ").alias("tokens"))
 
 
+def _merges(docs: DataFrame) -> DataFrame:
+    return subwords.learn_merges(session.stage(subwords.word_counts(docs), "words"), MERGES)
+
+
 @query
 def f2_subword_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    pieces = session.stage(subwords.word_pieces(texts(spark, sf)), "pieces")
-    return subwords.subword_tokens(pieces, subwords.learn_merges(pieces, MERGES))
+    docs = texts(spark, sf)
+    return subwords.subword_tokens(docs, _merges(docs))
 
 
 @query
 def f3_learn_merges(spark: SparkSession, sf: str) -> DataFrame:
-    return subwords.learn_merges(subwords.word_pieces(texts(spark, sf)), MERGES)
+    return _merges(texts(spark, sf))
 
 
 @query

@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from conftest import SMALL, plan_of
 from pagedater import session
 from pagedater.operators import subwords, tokens
 from pagedater.registry import queries
@@ -78,38 +78,73 @@ def learn(words, n):
     return merges, table
 
 
-@pytest.fixture(scope="module")
-def pieces(spark):
-    rng = random.Random(3)
-    texts = [" ".join("".join(rng.choice("aab") for _ in range(rng.randint(1, 7))) for _ in range(30)) for _ in range(20)]
-    return session.stage(subwords.word_pieces(docs(spark, *texts)), "pieces")
+def drawn_texts(seed, letters, n=20):
+    rng = random.Random(seed)
+    return [" ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) for _ in range(30)) for _ in range(n)]
 
 
-def test_learn_and_apply_merges(spark, pieces):
-    words = {r.word: r.n for r in pieces.groupBy("word").agg(F.sum("n").alias("n")).collect()}
-    expected, table = learn(words, 12)
-    merges = subwords.learn_merges(pieces, 12, stage_every=5)
+@pytest.mark.parametrize("letters, candidates", [("aab", 512), ("ab", 7), ("abcd", 512), ("aaaabc", 3), ("abcdefgh", 512)])
+def test_learn_and_apply_merges(spark, monkeypatch, letters, candidates):
+    """Rounds of many merges learn what one merge at a time learns, twins and long runs included."""
+    monkeypatch.setattr(subwords, "CANDIDATES", candidates)
+    texts = drawn_texts(3, letters) + ["a" * 40 + " " + "ab" * 20 + " " + "aab" * 11]
+    frame = docs(spark, *texts)
+    counts = session.stage(subwords.word_counts(frame), "counts")
+    expected, table = learn({r.word: r.n for r in counts.collect()}, 60)
+    merges = subwords.learn_merges(counts, 60)
     assert [(r.left, r.right) for r in merges.orderBy("rank").collect()] == expected
 
-    segments = {r.word: r.symbols for r in subwords.word_segments(pieces.select("word").distinct(), merges).collect()}
+    ranks = subwords.merge_ranks(merges)
+    segments = {r.word: tuple(subwords.segment(r.word, ranks)) for r in counts.collect()}
     assert all("".join(symbols) == word for word, symbols in segments.items())
-    assert {tuple(s) for s in segments.values()} == set(table)
+    assert set(segments.values()) == set(table)
 
-    counts = subwords.subword_tokens(pieces, merges).groupBy("token").agg(F.sum("n").alias("n")).collect()
-    totals = Counter()
-    for symbols, count in table.items():
-        for symbol in symbols:
-            totals[symbol] += count
-    assert {r.token: r.n for r in counts} == totals
+    found = {(r.doc_id, r.token): r.n for r in subwords.subword_tokens(frame, merges).collect()}
+    bags = Counter((i, s) for i, text in enumerate(texts) for word in text.split() for s in segments[word])
+    assert found == bags
+    lists = {r.doc_id: r.tokens for r in subwords.subword_lists(frame, merges).collect()}
+    assert lists == {i: [s for word in text.split() for s in segments[word]] for i, text in enumerate(texts)}
 
 
-def test_learning_stops_without_pairs(spark):
-    merges = subwords.learn_merges(subwords.word_pieces(docs(spark, "a b c")), 5)
+def test_rounds_merge_many_pairs_of_real_words(spark, monkeypatch):
+    rounds = []
+    whole = subwords.chosen
+
+    def counted(*args):
+        rounds.append(whole(*args))
+        return rounds[-1]
+
+    monkeypatch.setattr(subwords, "chosen", counted)
+    counts = session.stage(subwords.word_counts(queries.documents(spark, SMALL)), "counts")
+    expected, _ = learn({r.word: r.n for r in counts.collect()}, 150)
+    merges = subwords.learn_merges(counts, 150)
+    assert [(r.left, r.right) for r in merges.orderBy("rank").collect()] == expected
+    assert len(rounds) < 30 and any(wave for r in rounds for _, wave in r)
+
+
+def test_learning_ends_by_count(spark):
+    merges = subwords.learn_merges(subwords.word_counts(docs(spark, "a b c")), 5)
     assert merges.count() == 0 and merges.columns == ["rank", "left", "right"]
+    counts = subwords.word_counts(docs(spark, "abab abab xy", "xy xy"))
+    assert [(r.left, r.right) for r in subwords.learn_merges(counts, 9, min_count=3).collect()] == [("a", "b"), ("x", "y")]
+
+
+def test_subwords_shuffle_nothing(spark):
+    merges = spark.createDataFrame([(0, "a", "b")], subwords.MERGES)
+    frame = docs(spark, "ab abc", None, "")
+    counted, listed = subwords.subword_tokens(frame, merges), subwords.subword_lists(frame, merges)
+    assert "Exchange" not in plan_of(counted) + plan_of(listed)
+    assert {tuple(r) for r in counted.collect()} == {(0, "ab", 2), (0, "c", 1)}
+    assert [r.tokens for r in listed.orderBy("doc_id").collect()] == [["ab", "ab", "c"], [], []]
+
+
+def test_a_long_run_is_segmented_quickly():
+    ranks = {("a" * n, "a" * n): [k] for k, n in enumerate((1, 2, 4, 8))}
+    assert subwords.segment("a" * 200_001, ranks) == ["a" * 16] * 12_500 + ["a"]
 
 
 def test_pieces_keep_every_mark(spark):
-    got = subwords.word_pieces(docs(spark, "L'été 1854, (où)")).collect()
+    got = subwords.word_counts(docs(spark, "L'été 1854, (où)\x01")).collect()
     assert {r.word: r.n for r in got} == {
-        "L": 1, "'": 1, "été": 1, "185": 1, "4": 1, ",": 1, "(": 1, "où": 1, ")": 1,
+        "L": 1, "'": 1, "été": 1, "185": 1, "4": 1, ",": 1, "(": 1, "où": 1, ")\x01": 1,
     }
