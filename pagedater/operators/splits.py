@@ -2,9 +2,10 @@
 
 Rows are ordered by ``md5(seed:key)``. Instead of ranking every row of a class in
 one task, the row that sits at each cut is located: rows are counted per class and
-hash bucket, the bucket that holds the cut is picked from the running counts, and
-only the rows of that bucket are ranked. What remains is one boundary per class and
-cut, and the split is a comparison with it, so texts are never shuffled.
+hash bucket, the bucket that holds the cut is picked from the running counts and cut
+into finer buckets by the next digits of the hash, until it is small; only then are its
+rows ranked. What remains is one boundary per class and cut, and the split is a
+comparison with it, so texts are never shuffled.
 """
 
 from __future__ import annotations
@@ -26,9 +27,11 @@ TINY_KEEP = 0.15
 TOLERANCE = 0.1
 SAMPLE_SIZE = 10_000
 
-# 16**3 buckets: map-side counts shrink to 4,096 rows per class and task, and a class
-# of 10**10 rows leaves about 2.4 million (hash, key) pairs to rank.
+# 16**3 buckets at a time: map-side counts shrink to 4,096 rows per class and task, and so
+# do the rows of a window over them. A bucket of more than RANKED rows is cut again.
 BUCKET_DIGITS = 3
+RANKED = 100_000
+HASH_DIGITS = 32
 
 Rank = Callable[[Column], Column]
 
@@ -54,49 +57,59 @@ def hash_cuts(
 
     ``ranks`` maps a name to a function of the class size. A rank of 0 has no row,
     so its boundary is NULL and nothing lies below it. The buckets looked for, one
-    per class and rank, are staged and broadcast when few, so that the second pass
-    over the rows is a filter and only the rows of those buckets are shuffled.
+    per class and rank, are staged and broadcast when few, so that each further pass
+    over the rows is a filter and only the rows of those buckets are counted or shuffled.
+    However many rows there are, a bucket that is ranked has at most ``RANKED`` of them
+    (rows that share one hash, so one key, aside).
     """
-    keyed = df.select(*by, F.col(key).alias("_key"), order_hash(key, seed).alias("_hash"))
-    keyed = keyed.withColumn("_bucket", F.substring("_hash", 1, BUCKET_DIGITS))
-    counts = keyed.groupBy(*by, "_bucket").agg(F.count("*").alias("_n"))
-
-    in_class = Window.partitionBy(*[F.col(c) for c in by])
-    running = in_class.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    sized = counts.withColumn("_size", F.sum("_n").over(in_class)).withColumn(
-        "_upto", F.sum("_n").over(running)
+    classes = [f"_{c}" for c in by]
+    keyed = df.select(
+        *[F.col(c).alias(f"_{c}") for c in by], F.col(key).alias("_key"), order_hash(key, seed).alias("_hash")
     )
-    named = [
-        F.struct(F.lit(name).alias("cut"), rank(F.col("_size")).alias("rank"))
-        for name, rank in ranks.items()
-    ]
-    wanted = (
-        sized.withColumn("_want", F.explode(F.array(*named)))
-        .filter(
-            (F.col("_want.rank") <= F.col("_upto"))
-            & (F.col("_want.rank") > F.col("_upto") - F.col("_n"))
-        )
-        .select(
-            *[F.col(c).alias(f"_{c}") for c in by],
-            F.col("_bucket").alias("_wanted"),
-            F.col("_want.cut").alias("_cut"),
-            (F.col("_want.rank") - F.col("_upto") + F.col("_n")).alias("_nth"),
-        )
+    sizes = keyed.groupBy(*classes, F.substring("_hash", 1, BUCKET_DIGITS).alias("_bucket")).agg(F.count("*").alias("_n"))
+    in_class = Window.partitionBy(*classes)
+    sized = sizes.withColumn("_size", F.sum("_n").over(in_class))
+    named = [F.struct(F.lit(name).alias("cut"), rank(F.col("_size")).alias("rank")) for name, rank in ranks.items()]
+    asked = sized.withColumn("_want", F.explode(F.array(*named))).select(
+        *classes, "_bucket", "_n", F.col("_want.cut").alias("_cut"), F.col("_want.rank").alias("_nth")
     )
-    wanted = session.stage(wanted, "buckets")
-    found = session.broadcast_if_small(wanted)
-    in_bucket = Window.partitionBy(*[f"_{c}" for c in by], "_cut").orderBy("_hash", "_key")
+    wanted = session.stage(_holding(asked, [*classes, "_cut"]), "buckets")
+    digits = BUCKET_DIGITS
+    while digits < HASH_DIGITS and (wanted.agg(F.max("_n")).first()[0] or 0) > RANKED:
+        inside = _inside(keyed, wanted, classes, digits)
+        digits = min(digits + BUCKET_DIGITS, HASH_DIGITS)
+        finer = inside.groupBy(*classes, "_cut", "_nth", F.substring("_hash", 1, digits).alias("_bucket"))
+        wanted = session.stage(_holding(finer.agg(F.count("*").alias("_n")), [*classes, "_cut"]), "buckets")
+    in_bucket = Window.partitionBy(*classes, "_cut").orderBy("_hash", "_key")
     located = (
-        keyed.join(found, _same(keyed, wanted, by) & (keyed["_bucket"] == wanted["_wanted"]))
+        _inside(keyed, wanted, classes, digits)
         .withColumn("_row", F.row_number().over(in_bucket))
         .filter(F.col("_row") == F.col("_nth"))
     )
     boundary = F.struct(F.col("_hash").alias("hash"), F.col("_key").alias("key"))
-    return located.groupBy(*[f"_{c}" for c in by]).agg(
+    return located.groupBy(*classes).agg(
         *[F.max(F.when(F.col("_cut") == name, boundary)).alias(f"_{name}") for name in ranks]
     )
 
 
+def _holding(counts: DataFrame, cut: Sequence[str]) -> DataFrame:
+    """Of the buckets of each cut the one that holds its rank; the rank counts from there on."""
+    running = Window.partitionBy(*cut).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.withColumn("_before", F.coalesce(F.sum("_n").over(running), F.lit(0)))
+    held = (F.col("_nth") > F.col("_before")) & (F.col("_nth") <= F.col("_before") + F.col("_n"))
+    return placed.filter(held).select(*cut, "_bucket", "_n", (F.col("_nth") - F.col("_before")).alias("_nth"))
+
+
+def _inside(keyed: DataFrame, wanted: DataFrame, classes: Sequence[str], digits: int) -> DataFrame:
+    """The rows of the buckets looked for, which have so many digits, beside their cut and rank."""
+    found = session.broadcast_if_small(wanted)
+    same = [keyed[c].eqNullSafe(wanted[c]) for c in classes]
+    same.append(F.substring(keyed["_hash"], 1, digits) == wanted["_bucket"])
+    return keyed.join(found, reduce(and_, same)).select(
+        *[keyed[c] for c in classes], keyed["_key"], keyed["_hash"], wanted["_cut"], wanted["_nth"]
+    )
+
+
 def _below(name: str, key: str, seed: int) -> Column:
     """Whether a row lies at or below a boundary."""
     here = F.struct(order_hash(key, seed).alias("hash"), F.col(key).alias("key"))

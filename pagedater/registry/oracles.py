@@ -371,6 +371,13 @@ ORACLES: dict[str, str] = {
             for name, value in (("pubyear", "pubyear"), ("title_chars", "length(title)"))
         )
     ),
+    "a8_describe_text": " union all ".join(
+        f"""select '{c}' as "column", count({c}) as count, count(*) - count({c}) as nulls,
+                   count(distinct {c}) as distinct, min({c}) as min, max({c}) as max,
+                   cast(min(length({c})) as integer) as shortest, cast(max(length({c})) as integer) as longest
+            from documents"""
+        for c in ("lang", "source", "text")
+    ),
     "d1_extract_years": _of_own(
         "array_to_string(flatten(list_transform(categories,"
         " lambda c: regexp_extract_all(c, '[1-2][0-9]{3}', 0))), '|')",

@@ -411,8 +411,13 @@ def a7_class_distribution(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def a8_describe(spark: SparkSession, sf: str) -> DataFrame:
     dated = labels.publication_year(own_categories(spark, sf))
-    rows = dated.withColumn("title_chars", F.length("title"))
-    return rounded(distributions.describe(rows, "pubyear", "title_chars"), "mean", "std")
+    rows = dated.select("pubyear", F.length("title").alias("title_chars"))
+    return rounded(distributions.describe(session.stage(rows, "rows"), "pubyear", "title_chars"), "mean", "std")
+
+
+@query
+def a8_describe_text(spark: SparkSession, sf: str) -> DataFrame:
+    return distributions.describe_text(documents(spark, sf), "lang", "source", "text")
 
 
 # --- scalars ----------------------------------------------------------------

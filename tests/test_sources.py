@@ -175,3 +175,26 @@ def test_uncategorised_pages_are_counted_under_null(spark):
     assert got == {"a": 2, "b": 1, None: 1}
     assert pages.uncategorised(df).count() == 1
     assert distributions.category_distribution(df).agg(F.sum("pages")).first()[0] == 4
+
+
+def test_quartiles_of_many_values(spark):
+    """Unique values, a hot value, nulls and an empty column, against a plain sort."""
+    import random
+
+    draw = random.Random(5)
+    rows = [(draw.gauss(0, 1), 7 if draw.random() < 0.4 else draw.randrange(10**6), None) for _ in range(5003)]
+    rows += [(None, 3, None)] * 40
+    frame = spark.createDataFrame(rows, "a double, b long, c int").repartition(9)
+    found = {r["column"]: r for r in distributions.describe(frame, "a", "b", "c").collect()}
+    for name, at in (("a", 0), ("b", 1)):
+        values = sorted(r[at] for r in rows if r[at] is not None)
+        for share in (25, 50, 75):
+            assert found[name][f"q{share}"] == values[-(-len(values) * share // 100) - 1]
+        assert (found[name]["count"], found[name]["nulls"]) == (len(values), len(rows) - len(values))
+    assert found["c"]["count"] == 0 and found["c"]["q50"] is None
+
+
+def test_describe_text(spark):
+    frame = spark.createDataFrame([("b",), ("b",), ("é",), ("",), (None,)], "t string")
+    assert [tuple(r) for r in distributions.describe_text(frame, "t").collect()] == [("t", 4, 1, 3, "", "é", 0, 1)]
+    assert [tuple(r) for r in distributions.describe_text(frame.limit(0), "t").collect()] == [("t", 0, 0, 0, None, None, None, None)]

@@ -33,7 +33,11 @@ def labelled(spark):
     return spark.createDataFrame(hot_rows(), "page_id long, semicentury int").repartition(7)
 
 
-def test_stratified_split_is_exact(spark, labelled):
+@pytest.mark.parametrize("ranked, digits", [(splits.RANKED, splits.BUCKET_DIGITS), (5, 1), (0, 3)])
+def test_stratified_split_is_exact(spark, labelled, monkeypatch, ranked, digits):
+    """Also where the bucket of a cut is cut again, down to single hashes."""
+    monkeypatch.setattr(splits, "RANKED", ranked)
+    monkeypatch.setattr(splits, "BUCKET_DIGITS", digits)
     got = {r.page_id: r.split for r in splits.stratified_split(labelled, "semicentury").collect()}
     expected = {}
     for keys in classes(hot_rows()).values():
