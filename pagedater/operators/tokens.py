@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import session
+from .numbering import numbered
 
 # White space in the Unicode sense, spelled out so that engines agree.
 SPACE = r"\t-\r\x1c-\x1f\x{85}\p{Z}"
@@ -25,13 +28,41 @@ def word_tokens(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("tokens", F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """An expression of ``value`` that works it out once, however often it is used inside lambdas."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def counted_tokens(df: DataFrame) -> DataFrame:
+    """Add ``bag``, the distinct tokens of the row, sorted, each with its count. No shuffle.
+
+    Sorted tokens make runs; a token's count is the distance between the ends of two runs.
+    """
+
+    def pairs(tokens: Column) -> Column:
+        ends = F.filter(
+            F.sequence(F.lit(1), F.size(tokens)),
+            lambda i: ~F.get(tokens, i - 1).eqNullSafe(F.get(tokens, i)),
+        )
+        return _once(
+            F.when(F.size(tokens) > 0, ends).otherwise(F.array().cast("array<int>")),
+            lambda ends: F.transform(
+                ends,
+                lambda end, i: F.struct(
+                    F.get(tokens, end - 1).alias("token"),
+                    (end - F.coalesce(F.get(ends, i - 1), F.lit(0))).cast("long").alias("n"),
+                ),
+            ),
+        )
+
+    listed = F.coalesce("tokens", F.array().cast("array<string>"))
+    return df.withColumn("bag", _once(F.array_sort(listed), pairs))
+
+
 def bag_of_words(df: DataFrame, doc: str = "doc_id") -> DataFrame:
-    """Token counts per document, ``(doc, token, n)``, from a ``tokens`` column."""
-    return (
-        df.select(doc, F.explode("tokens").alias("token"))
-        .groupBy(doc, "token")
-        .agg(F.count("*").alias("n"))
-    )
+    """Token counts of every row, ``(doc, token, n)``, from a ``tokens`` column. No shuffle."""
+    counted = counted_tokens(df.select(doc, "tokens"))
+    return counted.select(doc, F.explode("bag").alias("pair")).select(doc, "pair.token", "pair.n")
 
 
 def doc_frequency(df: DataFrame) -> DataFrame:
@@ -48,13 +79,12 @@ def doc_frequency(df: DataFrame) -> DataFrame:
 def prune_vocabulary(frequencies: DataFrame, docs: DataFrame, min_df: float = MIN_DF) -> DataFrame:
     """Keep tokens found in at least ``min_df`` of ``docs``; number them by sort order.
 
-    The share is inclusive. What is left is small (see ``MAX_COLUMNS``), so one window
-    numbers it.
+    The share is inclusive. Numbers come from a range sort and counts by part, so no task
+    sees the whole vocabulary, also where ``min_df`` is 0.
     """
     n_docs = docs.select(F.count("*")).scalar()
     kept = frequencies.filter(F.col("df") >= F.lit(float(min_df)) * n_docs)
-    order = Window.partitionBy(F.lit(0)).orderBy("token")
-    return kept.withColumn("token_id", F.row_number().over(order) - 1)
+    return numbered(kept, "token_id", "token").withColumn("token_id", F.col("token_id").cast("int"))
 
 
 def feature_names(vocabulary: DataFrame) -> list[str]:

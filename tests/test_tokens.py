@@ -148,3 +148,19 @@ def test_pieces_keep_every_mark(spark):
     assert {r.word: r.n for r in got} == {
         "L": 1, "'": 1, "été": 1, "185": 1, "4": 1, ",": 1, "(": 1, "où": 1, ")\x01": 1,
     }
+
+
+def test_counting_tokens_shuffles_nothing(spark):
+    frame = tokens.word_tokens(docs(spark, "b a b", "", None, "x " * 5000 + "y"))
+    bag = tokens.bag_of_words(frame)
+    assert "Exchange" not in plan_of(bag) and "Python" not in plan_of(bag)
+    assert sorted(map(tuple, bag.collect())) == [(0, "a", 1), (0, "b", 2), (3, "x", 5000), (3, "y", 1)]
+
+
+def test_vocabulary_is_numbered_without_one_task(spark):
+    frame = tokens.word_tokens(docs(spark, *[f"w{i % 500} w{i}" for i in range(3000)]))
+    vocabulary = tokens.prune_vocabulary(tokens.doc_frequency(frame), frame, 0)
+    assert "SinglePartition" not in plan_of(vocabulary) and "Window" not in plan_of(vocabulary)
+    rows = vocabulary.orderBy("token").collect()
+    assert [r.token_id for r in rows] == list(range(3000)) and [r.token for r in rows] == sorted(f"w{i}" for i in range(3000))
+    assert tokens.prune_vocabulary(tokens.doc_frequency(frame), frame, 1.0).collect() == []
