@@ -75,8 +75,9 @@ def _scans(pages: DataFrame) -> DataFrame:
     )
 
 
-def _first_book_by_stem(scans: DataFrame, books: DataFrame) -> DataFrame:
-    """First matching book per scanned page, by hash joins only.
+def _lookups(scans: DataFrame, books: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two tables, by hash joins only: the first book without a slash per stem of scanned
+    pages, and the first book with one per page.
 
     A book without a slash in its title is a prefix of a page title exactly when it
     is a prefix of the title's stem, so its candidates are made per distinct stem:
@@ -89,7 +90,6 @@ def _first_book_by_stem(scans: DataFrame, books: DataFrame) -> DataFrame:
         "stem", _stem(F.col("book_title"))
     )
     scans = scans.withColumn("stem", _stem(F.col("scan")))
-
     stems = scans.select("stem").distinct().select("stem", _lengths(plain))
     by_stem = _earliest(
         _prefixes(stems, "stem", "stem").join(plain, "book_title"), "stem", "plain"
@@ -105,16 +105,22 @@ def _first_book_by_stem(scans: DataFrame, books: DataFrame) -> DataFrame:
         "pathed",
     )
 
+    return by_stem, by_title
+
+
+def _of_both() -> Column:
+    """The payload of the earlier one of a page's two candidates."""
     pathed_wins = F.coalesce(F.col("pathed_seen") < F.col("plain_seen"), F.lit(True))
-    found = scans.join(by_stem, "stem", "left").join(by_title, "page_id", "left")
+    return F.when(F.col("pathed_seen").isNotNull() & pathed_wins, F.col("pathed_payload")).otherwise(F.col("plain_payload"))
+
+
+def _first_book_by_stem(scans: DataFrame, books: DataFrame) -> DataFrame:
+    """First matching book per scanned page."""
+    by_stem, by_title = _lookups(scans, books)
+    found = scans.withColumn("stem", _stem(F.col("scan"))).join(by_stem, "stem", "left").join(by_title, "page_id", "left")
     return found.filter(
         F.col("plain_seen").isNotNull() | F.col("pathed_seen").isNotNull()
-    ).select(
-        "page_id",
-        F.when(F.col("pathed_seen").isNotNull() & pathed_wins, F.col("pathed_payload"))
-        .otherwise(F.col("plain_payload"))
-        .alias("payload"),
-    )
+    ).select("page_id", _of_both().alias("payload"))
 
 
 def _first_book_broadcast(scans: DataFrame, books: DataFrame) -> DataFrame:
@@ -138,6 +144,20 @@ def first_book(
     return _first_book_by_stem(_scans(pages), known)
 
 
+def _in_place(pages: DataFrame, by_stem: DataFrame, by_title: DataFrame) -> DataFrame:
+    """Pages with ``payload``, looked up where they are: no page moves."""
+    scan = F.when(
+        F.coalesce(F.col("title").startswith(wt.SCAN_PREFIX), F.lit(False)),
+        F.substring("title", len(wt.SCAN_PREFIX) + 1, 1 << 30),
+    )
+    return (
+        pages.withColumn("stem", _stem(scan))
+        .join(F.broadcast(by_stem), "stem", "left")
+        .join(F.broadcast(by_title), "page_id", "left")
+        .withColumn("payload", _of_both())
+    )
+
+
 def restore_categories(
     pages: DataFrame, books: DataFrame, strategy: str = "shuffle"
 ) -> DataFrame:
@@ -145,13 +165,21 @@ def restore_categories(
 
     A page belongs to a book when its title, without the namespace, starts with the
     book's title; among several books the one with the smallest ``first_page_id``
-    counts, even with no categories. The join works on ``(page_id, title)`` only and
-    meets the scanned pages again on the unique ``page_id``; all other pages, which can
-    have no book, go past it.
+    counts, even with no categories. The joins work on ``(page_id, title)`` only. What they
+    find is small, as all pages of a book share a stem: a row per stem, and one per page of
+    books with a slash in their title. Both are counted, and looked up where the pages
+    are, so that no text is shuffled. Beyond the bound of a broadcast the scanned pages meet
+    their payload on the unique ``page_id``; all other pages go past that join.
 
     ``books`` is read several times; hand over a staged table. ``strategy="broadcast"``
     is for few books: it is checked, and beyond the bound the shuffle form runs.
     """
+    if strategy == "shuffle":
+        known = books.select("book_title", "first_page_id", F.col("categories").alias("payload"))
+        by_stem, by_title = (session.stage(t, "found") for t in _lookups(_scans(pages), known))
+        if session.fits_broadcast(by_stem) and session.fits_broadcast(by_title):
+            joined = _in_place(pages, by_stem, by_title)
+            return joined.withColumn("categories", yr.merge_sets(F.col("categories"), F.col("payload"))).select(pages.columns)
     found = first_book(pages, books, F.col("categories"), strategy)
     is_scan = F.coalesce(F.col("title").startswith(wt.SCAN_PREFIX), F.lit(False))
     scans = pages.filter(is_scan).join(found, "page_id", "left")

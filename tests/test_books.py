@@ -63,8 +63,9 @@ def test_cases(spark, case, strategy):
     assert restored(spark, pages, known, strategy) == brute_force(pages, known)
 
 
-@pytest.mark.parametrize("strategy", ["shuffle", "broadcast"])
-def test_random_titles(spark, strategy):
+@pytest.mark.parametrize("strategy, rows", [("shuffle", session.BROADCAST_ROWS), ("shuffle", 1), ("broadcast", session.BROADCAST_ROWS)])
+def test_random_titles(spark, monkeypatch, strategy, rows):
+    monkeypatch.setattr(session, "BROADCAST_ROWS", rows)
     rng = random.Random(7)
 
     def name():
@@ -110,6 +111,17 @@ def test_no_nested_loop_and_no_product(spark):
         assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_no_text_is_shuffled(spark, scratch):
+    rows = [(1, "Page:A/1", ["x"], "t"), (2, "Page:A/b/2", ["x"], "t"), (3, "C", [], "t"), (4, None, None, None)]
+    schema = "page_id long, title string, categories array<string>, text string"
+    spark.createDataFrame(rows, schema).write.parquet(scratch + "/pages")
+    known = spark.createDataFrame([("A", 5, ["y"]), ("A/b", 1, ["z"])], BOOKS)
+    joined = books.restore_categories(spark.read.parquet(scratch + "/pages"), known)
+    assert "Exchange" not in plan_of(joined).replace("BroadcastExchange", "")
+    found = {r["page_id"]: (r["categories"], r["text"]) for r in joined.collect()}
+    assert found == {1: (["x", "y"], "t"), 2: (["x", "z"], "t"), 3: ([], "t"), 4: ([], None)}
+
+
 def test_unknown_strategy(spark):
     with pytest.raises(ValueError):
         restored(spark, *CASES["prefix clash"], "other")
