@@ -20,7 +20,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import session
@@ -32,6 +32,8 @@ SMOOTHING = 1.0
 MLP_SEED = 1
 
 MAX_CLASSES = 1_000
+# Rows that are projected together.
+ROWS = 512
 
 
 @dataclass
@@ -41,7 +43,10 @@ class Classifier:
     model: Model
     classes: list
     label: str
-    projection: "FourierFeatures | None" = field(default=None)
+    projection: "FourierFeatures | None" = None
+    #: Of the machines of ``svm``: iterations each, and whether all met the tolerance.
+    iterations: list[int] = field(default_factory=list)
+    converged: bool = True
 
 
 def class_list(train: DataFrame, label: str) -> list:
@@ -95,40 +100,59 @@ def mlp(
     return Classifier(estimator.fit(_numbered(train, label, classes)), classes, label)
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finalizer: neighbouring numbers become unlike ones."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def normal_rows(rows: np.ndarray, size: int, seed: int) -> np.ndarray:
+    """Normal numbers, ``size`` to a row, that depend on the row's number and the seed only."""
+    cell = rows.astype(np.uint64)[:, None] * np.uint64(2 * size) + np.arange(2 * size, dtype=np.uint64)
+    # 53 bits, never 0.
+    uniform = ((_mixed(_mixed(cell + np.uint64(1)) ^ _mixed(np.uint64([seed]) + np.uint64(77))) >> np.uint64(11)) + 0.5) / 2**53
+    return np.sqrt(-2 * np.log(uniform[:, :size])) * np.cos(2 * np.pi * uniform[:, size:])
+
+
 @dataclass
 class FourierFeatures:
-    """Random Fourier features of the RBF kernel (Rahimi and Recht, 2007)."""
+    """Random Fourier features of the RBF kernel (Rahimi and Recht, 2007).
+
+    The weights of a token come from its number and the seed, where they are needed: nothing
+    that grows with the vocabulary is broadcast.
+    """
 
-    width: int
     gamma: float
     size: int = 256
     seed: int = 0
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        generator = np.random.default_rng(self.seed)
-        spread = np.sqrt(2 * self.gamma)
-        weights = generator.normal(0, spread, (self.width, self.size)).astype(np.float32)
-        shift = generator.uniform(0, 2 * np.pi, self.size)
-        scale = np.sqrt(2 / self.size)
-        shared = df.sparkSession.sparkContext.broadcast((weights, shift, scale))
+    def project(self, indices: list[np.ndarray], counts: list[np.ndarray]) -> np.ndarray:
+        """The features of sparse rows: one product for the rows that go together."""
+        spread, scale = np.sqrt(2 * self.gamma), np.sqrt(2 / self.size)
+        shift = np.random.default_rng(self.seed).uniform(0, 2 * np.pi, self.size)
+        lengths = np.array([len(x) for x in indices])
+        tokens, place = np.unique(np.concatenate(indices).astype(np.int64), return_inverse=True)
+        rows = np.zeros((len(indices), len(tokens)))
+        rows[np.repeat(np.arange(len(indices)), lengths), place] = np.concatenate(counts)
+        return scale * np.cos(rows @ normal_rows(tokens, self.size, self.seed) * spread + shift)
 
+    def transform(self, df: DataFrame) -> DataFrame:
         @F.pandas_udf("array<double>")
         def project(indices: pd.Series, counts: pd.Series) -> pd.Series:
-            weights, shift, scale = shared.value
-            return pd.Series(
-                [
-                    scale * np.cos(n @ weights[seen] + shift)
-                    for seen, n in zip(indices, counts)
-                ]
-            )
+            parts = [
+                self.project(list(indices[at : at + ROWS]), list(counts[at : at + ROWS]))
+                for at in range(0, len(indices), ROWS)
+            ]
+            return pd.Series(list(np.concatenate(parts)) if parts else [])
 
         sparse = F.unwrap_udt("features")
         projected = project(sparse["indices"], sparse["values"])
         return df.withColumn("features", array_to_vector(projected))
 
 
-def kernel_scale(train: DataFrame) -> tuple[int, int, float]:
-    """Rows, vector width, and ``1 / (width * variance of all cells)``, in one sparse pass."""
+def kernel_scale(train: DataFrame) -> tuple[int, float]:
+    """Rows, and ``1 / (width * variance of all cells)``, in one sparse pass."""
     stats = train.select(
         Summarizer.metrics("mean", "normL2", "count").summary(F.col("features")).alias("s")
     ).select("s.*").first()
@@ -137,7 +161,7 @@ def kernel_scale(train: DataFrame) -> tuple[int, int, float]:
     square = float(np.sum(stats["normL2"].toArray() ** 2)) / (stats["count"] * width)
     variance = square - mean * mean
     gamma = 1.0 / (width * variance) if variance > 0 else 1.0
-    return stats["count"], width, gamma
+    return stats["count"], gamma
 
 
 def svm(
@@ -145,7 +169,7 @@ def svm(
     label: str = "semicentury",
     size: int = 256,
     seed: int = 0,
-    max_iter: int = 30,
+    max_iter: int = 10_000,
     tol: float = 1e-3,
     parallelism: int = 4,
 ) -> Classifier:
@@ -153,19 +177,22 @@ def svm(
 
     MLlib has no kernel machine: linear machines, one class against the rest, run
     over random Fourier features of the same kernel, with the same weight of errors
-    (C = 1) and tolerance.
+    (C = 1) and tolerance. They run until the tolerance is met; ``max_iter`` is for the
+    impatient, and ``iterations`` and ``converged`` of the result tell what happened.
     """
-    rows, width, gamma = kernel_scale(train)
-    projection = FourierFeatures(width, gamma, size, seed)
+    rows, gamma = kernel_scale(train)
+    projection = FourierFeatures(gamma, size, seed)
     classes = class_list(train, label)
     numbered = _numbered(train, label, classes).select("class", "features")
     projected = session.stage(projection.transform(numbered), "projected")
     estimator = OneVsRest(
-        classifier=LinearSVC(maxIter=max_iter, tol=tol, regParam=1.0 / rows),
+        classifier=LinearSVC(maxIter=max_iter, tol=tol, regParam=1.0 / rows, standardization=False),
         labelCol="class",
         parallelism=parallelism,
     )
-    return Classifier(estimator.fit(projected), classes, label, projection)
+    model = estimator.fit(projected)
+    iterations = [m.summary().totalIterations for m in model.models]
+    return Classifier(model, classes, label, projection, iterations, all(n < max_iter for n in iterations))
 
 
 def predict(fitted: Classifier, df: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -180,6 +207,28 @@ def predict(fitted: Classifier, df: DataFrame, key: str = "doc_id") -> DataFrame
     )
 
 
+def save(fitted: Classifier, path: str) -> None:
+    """Store a fitted classifier: MLlib's own files, and a table of its classes.
+
+    The kernel machine's features are drawn anew from its seed and are not stored.
+    """
+    if fitted.projection is not None:
+        raise ValueError("a kernel machine has no stored form")
+    spark = SparkSession.getActiveSession()
+    fitted.model.write().overwrite().save(f"{path}/model")
+    rows = [(i, fitted.label, str(c), type(c).__name__) for i, c in enumerate(fitted.classes)]
+    spark.createDataFrame(rows, "class int, label string, value string, kind string").coalesce(1).write.mode(
+        "overwrite"
+    ).parquet(f"{path}/classes")
+
+
+def load(spark: SparkSession, path: str, kind: type[Model]) -> Classifier:
+    """Read what ``save`` stored; ``kind`` is the class of the model, such as ``NaiveBayesModel``."""
+    rows = spark.read.parquet(f"{path}/classes").orderBy("class").collect()
+    classes = [int(r["value"]) if r["kind"] == "int" else r["value"] for r in rows]
+    return Classifier(kind.load(f"{path}/model"), classes, rows[0]["label"])
+
+
 def naive_bayes_table(
     features: DataFrame, docs: DataFrame, vocabulary: DataFrame, label: str, smoothing: float = SMOOTHING
 ) -> DataFrame:

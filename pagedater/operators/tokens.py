@@ -95,16 +95,16 @@ def feature_names(vocabulary: DataFrame) -> list[str]:
     return [row["token"] for row in sorted(rows)]
 
 
-def feature_table(bag: DataFrame, vocabulary: DataFrame, docs: DataFrame) -> DataFrame:
-    """Counts of vocabulary tokens with the columns of ``docs`` (label, split) in one keyed table.
+def feature_table(rows: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """Counts of vocabulary tokens beside the columns of ``rows`` (key, label, split) in one table.
 
-    ``vocabulary`` should be staged: it is broadcast when it is within the bound.
+    ``rows`` has ``tokens``, which are counted in the row. ``vocabulary`` should be staged: it
+    is broadcast when it is within the bound, and then nothing is shuffled.
     """
-    doc = docs.columns[0]
-    kept = bag.join(
-        session.broadcast_if_small(vocabulary.select("token", "token_id")), "token"
-    )
-    return docs.join(kept.select(doc, "token_id", "n"), doc)
+    kept = [c for c in rows.columns if c not in ("tokens", "text")]
+    pairs = counted_tokens(rows).select(*kept, F.explode("bag").alias("pair")).select(*kept, "pair.token", "pair.n")
+    known = session.broadcast_if_small(vocabulary.select("token", "token_id"))
+    return pairs.join(known, "token").select(*kept, "token_id", "n")
 
 
 def wide_features(bag: DataFrame, names: list[str], doc: str = "doc_id") -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import session
-from ..operators import evaluation, models, splits, tokens
+from ..operators import evaluation, models, splits, subwords, tokens
+from ..sources import tables
 
 MODELS: dict[str, Callable[..., models.Classifier]] = {
     "decision_tree": models.decision_tree,
@@ -24,19 +25,27 @@ def features(
     key: str = "page_id",
     min_df: float = tokens.MIN_DF,
     fit_on: str = "train",
+    merges: int = 0,
 ) -> tuple[DataFrame, list[str]]:
     """Split texts 80/20 and count the tokens of a pruned vocabulary.
 
     Returns ``(key, label, split, features)`` and the vocabulary. The vocabulary is
     learned from the training rows; ``fit_on="all"`` learns it from every row, as the
-    published run did.
+    published run did. With ``merges`` the tokens are byte-pair tokens of so many merges,
+    learned from the same rows; else they are words. Texts are read for the merges, for the
+    vocabulary and for the vectors; only the vectors are stored.
     """
-    split = splits.random_split(docs.select(key, label, "text"), key=key)
-    counted = session.stage(tokens.word_tokens(split).drop("text"), "tokens")
-    fitted = counted if fit_on == "all" else counted.filter(F.col("split") == "train")
-    frequencies = tokens.doc_frequency(fitted)
+    split = session.stage(splits.random_split(docs.select(key, label, "text"), key=key), "split")
+    fitted = split if fit_on == "all" else split.filter(F.col("split") == "train")
+    if merges:
+        table = session.stage(subwords.learn_merges(session.stage(subwords.word_counts(fitted), "words"), merges), "merges")
+        tokenise = lambda df: subwords.subword_lists(df, table).drop("pieces")
+    else:
+        tokenise = tokens.word_tokens
+    frequencies = tokens.doc_frequency(tokenise(fitted))
     names = tokens.feature_names(tokens.prune_vocabulary(frequencies, fitted, min_df))
-    return session.stage(tokens.vectorise(counted, names).drop("tokens"), "vectors"), names
+    vectors = tokens.vectorise(tokenise(split), names)
+    return session.stage(vectors.select(key, label, "split", "features"), "vectors"), names
 
 
 def run(
@@ -48,6 +57,12 @@ def run(
     return models.predict(fitted, vectors.filter(F.col("split") == "test"), key)
 
 
+def write_report(predictions: DataFrame, path: str) -> None:
+    """The report as CSV files with a header each; confusion rows are named by their class."""
+    for name, table in report(predictions).items():
+        tables.write_csv(table, f"{path}/{name}")
+
+
 def report(predictions: DataFrame) -> dict[str, DataFrame]:
     return {
         "accuracy": evaluation.accuracy(predictions),

@@ -131,10 +131,6 @@ _CTES = {
     "dated": """
         select page_id, title, pubyear, pubyear // 50 * 50 as semicentury
         from own_years where pubyear is not null""",
-    "predictions": """
-        select page_id, semicentury as label,
-               semicentury + [0, 0, 0, 50, -50, 0, 100][page_id % 7 + 1] as prediction
-        from dated""",
     "dumped": """
         select title, page_id as id,
                case when starts_with(title, 'Auteur:') then 'text/css' else 'text/x-wiki' end as format,
@@ -183,10 +179,6 @@ _SPLIT = """
                      row_number() over (order by md5(concat('0:', cast(doc_id as varchar))), doc_id) as r
               from documents))"""
 
-_FACTS = """
-    select doc_id, lang as label, true as known_class, true as beats_majority
-    from split_documents where split = 'test'"""
-
 _BAYES = """
     train as (select doc_id, lang from split_documents where split = 'train'),
     train_bag as (select lang, token, n from bag join train using (doc_id)),
@@ -222,15 +214,15 @@ def _pairs(source: str, symbols: str, sign: str = "") -> str:
               from (select n, regexp_extract_all({symbols}, concat(chr(1), '([^', chr(2), ']+)', chr(2)), 1) as s from {source}))"""
 
 
-def _merging(documents: str = "documents") -> str:
+def _merging(documents: str = "(select doc_id, text, true as learn from documents)", merges: int = MERGES) -> str:
     """One merge a step: the words as chains, the counts of pairs, and the merges so far, all by key."""
     return rf"""
     pieces as materialized (
-        select doc_id, word, count(*) as n
-        from (select doc_id, unnest(regexp_extract_all(text, '{PIECE}', 0)) as word from {documents})
-        group by doc_id, word),
+        select doc_id, word, learn, count(*) as n
+        from (select doc_id, learn, unnest(regexp_extract_all(text, '{PIECE}', 0)) as word from {documents})
+        group by doc_id, word, learn),
     first_words as materialized (
-        select word, cast(sum(n) as bigint) as n,
+        select word, cast(sum(case when learn then n else 0 end) as bigint) as n,
                regexp_replace(word, '(?s)(.)', concat(chr(1), '\1', chr(2)), 'g') as symbols
         from pieces group by word),
     first_pairs as (
@@ -244,7 +236,7 @@ def _merging(documents: str = "documents") -> str:
             select p.a as l, p.b as r, step.k as k
             from (select a, b from recurring.steps where kind = 'pair' and n >= 2 order by n desc, a, b limit 1) as p,
                  (select max(k) + 1 as k from steps where kind = 'merge') as step
-            where step.k <= {MERGES}),
+            where step.k <= {merges}),
         hit as (
             select a as word, n, symbols,
                    replace(symbols, concat(chr(1), l, chr(2), chr(1), r, chr(2)), concat(chr(1), l, r, chr(2))) as rewritten
@@ -268,6 +260,58 @@ def _merging(documents: str = "documents") -> str:
         group by doc_id, token)"""
 
 
+_PERIOD_SPLIT = """
+    period_texts as materialized (
+        select page_id, semicentury, text from raw_years join plain using (page_id)),
+    period_rows as materialized (
+        select page_id as doc_id, semicentury, text, r > (n * 2 + 9) // 10 as learn
+        from (select *, count(*) over () as n,
+                     row_number() over (order by md5(concat('0:', cast(page_id as varchar))), page_id) as r
+              from period_texts))"""
+
+_PERIOD_WORDS = f"""
+    period_bag as (
+        select doc_id, token, count(*) as n
+        from (select doc_id, unnest(regexp_extract_all(text, '{WORD}', 0)) as token from period_rows)
+        group by doc_id, token)"""
+
+_PERIOD_BAYES = """
+    train as (select doc_id, semicentury from period_rows where learn),
+    train_bag as (select semicentury, token, n from period_bag join train using (doc_id)),
+    known as (
+        select token from train_bag group by token
+        having count(*) >= cast(0.05 as double) * (select count(*) from train)),
+    cells as (select semicentury, token, sum(n) as n from train_bag join known using (token) group by all),
+    totals as (select semicentury, sum(n) as total from cells group by semicentury),
+    priors as (
+        select semicentury, ln((count(*) + cast(1 as double))
+                               / ((select count(*) from train) + (select count(distinct semicentury) from train))) as prior
+        from train group by semicentury),
+    weights as (
+        select semicentury, token, ln((coalesce(n, 0) + cast(1 as double))
+                                      / (coalesce(total, 0) + (select count(*) from known))) as weight
+        from (select semicentury, token from priors, known)
+        left join cells using (semicentury, token) left join totals using (semicentury)),
+    sums as (
+        select doc_id, semicentury, sum(n * weight) as s
+        from period_bag join weights using (token) group by doc_id, semicentury),
+    predictions as (
+        select page_id, label, prediction
+        from (select d.doc_id as page_id, d.semicentury as label, p.semicentury as prediction,
+                     row_number() over (partition by d.doc_id order by p.prior + coalesce(s, 0) desc, p.semicentury) as r
+              from period_rows as d cross join priors as p
+              left join sums on sums.doc_id = d.doc_id and sums.semicentury = p.semicentury
+              where not d.learn)
+        where r = 1)"""
+
+_PERIOD_MERGING = _merging("period_rows", 300) + ", period_bag as (select * from subwords)"
+
+
+def _periods(select: str, bag: str = _PERIOD_WORDS) -> str:
+    ctes = ", ".join(f"{name} as ({body})" for name, body in _CTES.items())
+    return f"with recursive {ctes}, {_PERIOD_SPLIT}, {bag}, {_PERIOD_BAYES} {select}"
+
+
 _CONFUSION = ", ".join(
     f'count(*) filter (where prediction = {label}) as "{label}"' for label in CONFUSION_LABELS
 )
@@ -451,19 +495,47 @@ ORACLES: dict[str, str] = {
                round(ln((coalesce(n, 0) + cast(1 as double))
                         / (coalesce(total, 0) + cast((select count(*) from vocabulary) as double))), 6) as log_prob
         from grid left join cells using (lang, token) left join totals using (lang)""",
-    "m1_decision_tree": f"with {_SPLIT} {_FACTS}",
-    "m2_svm": f"with {_SPLIT} {_FACTS}",
     "m3_naive_bayes": f"with {_BAG}, {_SPLIT}, {_BAYES} select * from bayes where doc_id in"
         " (select doc_id from split_documents where split = 'test')",
-    "m4_mlp": f"with {_SPLIT} {_FACTS}",
     "m5_predict": f"with {_BAG}, {_SPLIT}, {_BAYES} select * from bayes",
-    "e1_accuracy": _corpus("select round(avg(cast(label = prediction as integer)), 6) as accuracy from predictions"),
-    "e2_confusion": _corpus(
+    "f8_subword_features": _periods(
+        """select doc_id as page_id, semicentury, case when learn then 'train' else 'test' end as split, token, n
+           from period_bag join period_rows using (doc_id) join known using (token)""",
+        _PERIOD_MERGING,
+    ),
+    "m6_period_bayes": _periods("select page_id, label, prediction from predictions", _PERIOD_MERGING),
+    "e5_stored_reports": _periods(
+        f"""select cast(l as integer) as label, cast(c as integer) as prediction, count(page_id) as n
+            from (select unnest([{', '.join(map(str, CONFUSION_LABELS))}]) as l),
+                 (select unnest([{', '.join(map(str, CONFUSION_LABELS))}]) as c)
+            left join predictions on label = l and prediction = c group by l, c"""
+    ),
+    "p14_experiment_splits": _corpus(
+        """, ranked as (
+            select page_id, semicentury, count(*) over (partition by semicentury) as n,
+                   row_number() over (partition by semicentury
+                                      order by md5(concat('42:', cast(page_id as varchar))), page_id) as r
+            from raw_years),
+        split as (
+            select page_id, semicentury,
+                   case when r <= n - n * 2 // 10 then 'train'
+                        when r <= n - (n * 2 // 10) // 2 then 'test' else 'dev' end as split
+            from ranked),
+        small as (
+            select page_id, split, count(*) over (partition by split, semicentury) as n,
+                   row_number() over (partition by split, semicentury
+                                      order by md5(concat('42:', cast(page_id as varchar))), page_id) as r
+            from split)
+        select page_id, semicentury, split.split, split.split <> 'train' and r <= n - n * 85 // 100 as tiny
+        from split join small using (page_id)"""
+    ),
+    "e1_accuracy": _periods("select round(avg(cast(label = prediction as integer)), 6) as accuracy from predictions"),
+    "e2_confusion": _periods(
         f"""select cast(l as integer) as label, {_CONFUSION}
             from (select unnest([{', '.join(map(str, CONFUSION_LABELS))}]) as l)
             left join predictions on l = label group by l"""
     ),
-    "e3_class_report": _corpus(
+    "e3_class_report": _periods(
         """, classes as (select label as c from predictions union select prediction from predictions),
         tallies as (
             select c, count(*) filter (where label = c) as support,
@@ -482,7 +554,7 @@ ORACLES: dict[str, str] = {
         select 'weighted avg', round(sum(p * support) / sum(support), 6), round(sum(r * support) / sum(support), 6),
                round(sum(f * support) / sum(support), 6), cast(sum(support) as bigint) from rated"""
     ),
-    "e4_neighbour_error": _corpus(
+    "e4_neighbour_error": _periods(
         "select round(avg(cast(abs(label - prediction) <= 50 as integer)), 6) as near_share from predictions"
     ),
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.classification import NaiveBayesModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,7 @@ from .corpus import CORPUS_SQL
 Query = Callable[[SparkSession, str], DataFrame]
 
 MERGES = 1_000
+PERIOD_MERGES = 300
 
 QUERIES: dict[str, Query] = {}
 
@@ -88,17 +90,6 @@ def dated_orders(spark: SparkSession, sf: str) -> DataFrame:
     return labels.period_label(rows, width=5)
 
 
-def predictions(spark: SparkSession, sf: str) -> DataFrame:
-    """True class of every dated page beside a class some periods off."""
-    shift = F.array(*[F.lit(x) for x in (0, 0, 0, 50, -50, 0, 100)])
-    off = F.element_at(shift, (F.col("page_id") % 7).cast("int") + 1)
-    return dated_pages(spark, sf).select(
-        "page_id",
-        F.col("semicentury").alias("label"),
-        (F.col("semicentury") + off).alias("prediction"),
-    )
-
-
 def as_dump(spark: SparkSession, sf: str) -> DataFrame:
     """The corpus in the shape of dump rows, with style sheets and empty texts among them."""
     title = F.col("title")
@@ -515,12 +506,9 @@ def _tokenised(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.word_tokens(texts(spark, sf))
 
 
-def _vocabulary(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Counts and pruned vocabulary, both staged, so the texts are tokenised once."""
-    bag = session.stage(tokens.bag_of_words(_tokenised(spark, sf)), "bag")
-    frequencies = tokens.doc_frequency(bag)
-    vocabulary = tokens.prune_vocabulary(frequencies, documents(spark, sf))
-    return bag, session.stage(vocabulary, "vocabulary")
+def _vocabulary(spark: SparkSession, sf: str) -> DataFrame:
+    frequencies = tokens.doc_frequency(_tokenised(spark, sf))
+    return session.stage(tokens.prune_vocabulary(frequencies, documents(spark, sf)), "vocabulary")
 
 
 @query
@@ -568,9 +556,8 @@ def f7_feature_names(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def f8_feature_table(spark: SparkSession, sf: str) -> DataFrame:
-    bag, vocabulary = _vocabulary(spark, sf)
-    docs = splits.random_split(documents(spark, sf).select("doc_id", "lang"), key="doc_id")
-    return tokens.feature_table(bag, vocabulary, docs)
+    split = splits.random_split(documents(spark, sf).select("doc_id", "lang", "text"), key="doc_id")
+    return tokens.feature_table(tokens.word_tokens(split), _vocabulary(spark, sf))
 
 
 # --- models and evaluation --------------------------------------------------
@@ -585,7 +572,7 @@ def _predicted(spark: SparkSession, sf: str, model: str) -> DataFrame:
 
 
 def _facts(spark: SparkSession, sf: str, model: str) -> DataFrame:
-    """What must hold of a model whose figures SQL cannot give, beside every test row.
+    """Predictions of a model whose figures SQL cannot give, and what must hold of them.
 
     The prediction is a class of the training rows, and the accuracy over the test rows
     is at least 0.15 above the share of their largest class.
@@ -600,6 +587,7 @@ def _facts(spark: SparkSession, sf: str, model: str) -> DataFrame:
     return found.select(
         "doc_id",
         "label",
+        "prediction",
         F.coalesce(F.array_contains(classes, F.col("prediction")), F.lit(False)).alias("known_class"),
         beats.alias("beats_majority"),
     )
@@ -622,9 +610,9 @@ def m3_naive_bayes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def m3_naive_bayes_table(spark: SparkSession, sf: str) -> DataFrame:
-    bag, vocabulary = _vocabulary(spark, sf)
-    docs = documents(spark, sf).select("doc_id", "lang")
-    features = tokens.feature_table(bag, vocabulary, docs)
+    vocabulary = _vocabulary(spark, sf)
+    docs = _tokenised(spark, sf).select("doc_id", "lang", "tokens")
+    features = tokens.feature_table(docs, vocabulary)
     return rounded(models.naive_bayes_table(features, docs, vocabulary, "lang"), "log_prob")
 
 
@@ -641,6 +629,65 @@ def m5_predict(spark: SparkSession, sf: str) -> DataFrame:
     return models.predict(fitted, vectors)
 
 
+# --- from pages to periods ---------------------------------------------------
+
+
+def period_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Usable pages with their plain text and period."""
+    pages_of = labels.labelled_pages(extraction.extract(corpus(spark, sf)))
+    return session.stage(pages_of.select("page_id", "semicentury", "text"), "period_texts")
+
+
+def period_vectors(spark: SparkSession, sf: str, merges: int = 0) -> DataFrame:
+    return experiment.features(period_texts(spark, sf), merges=merges)[0]
+
+
+def predictions(spark: SparkSession, sf: str, merges: int = 0) -> DataFrame:
+    """Test pages with the period that naive Bayes gives them, as a stored table."""
+    return session.stage(experiment.run(period_vectors(spark, sf, merges), "naive_bayes"), "predictions")
+
+
+@query
+def f8_subword_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of byte-pair tokens of every usable page, beside period and split."""
+    vectors, names = experiment.features(period_texts(spark, sf), merges=PERIOD_MERGES)
+    sparse = F.unwrap_udt("features")
+    pairs = F.arrays_zip(sparse["indices"].alias("token_id"), sparse["values"].alias("n"))
+    listed = vectors.select("page_id", "semicentury", "split", F.explode(pairs).alias("pair"))
+    rows = listed.select("page_id", "semicentury", "split", "pair.token_id", F.col("pair.n").cast("long").alias("n"))
+    known = spark.createDataFrame(list(enumerate(names)), "token_id int, token string")
+    return rows.join(session.broadcast_if_small(known), "token_id").drop("token_id")
+
+
+@query
+def m6_period_bayes(spark: SparkSession, sf: str) -> DataFrame:
+    """The period of test pages from byte-pair tokens, by a model stored and read again."""
+    vectors = period_vectors(spark, sf, PERIOD_MERGES)
+    path = session.staging_path(spark, "model")
+    models.save(models.naive_bayes(vectors.filter("split = 'train'")), path)
+    fitted = models.load(spark, path, NaiveBayesModel)
+    return models.predict(fitted, vectors.filter("split = 'test'"), "page_id")
+
+
+@query
+def e5_stored_reports(spark: SparkSession, sf: str) -> DataFrame:
+    """Report and confusion matrix of the periods, as CSV files read again."""
+    path = session.staging_path(spark, "reports")
+    experiment.write_report(predictions(spark, sf), path)
+    schema = ", ".join(["label int", *(f"`{label}` bigint" for label in evaluation.CONFUSION_LABELS)])
+    matrix = tables.read_csv(spark, f"{path}/confusion", schema)
+    cells = F.array(*[F.struct(F.lit(c).alias("prediction"), F.col(f"`{c}`").alias("n")) for c in evaluation.CONFUSION_LABELS])
+    return matrix.select("label", F.inline(cells))
+
+
+@query
+def p14_experiment_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """Every usable page with its part of the published splits, small ones included."""
+    split = session.stage(labelling.split_pages(period_texts(spark, sf).drop("text")), "split")
+    tiny = labelling.tiny_pages(split).select("page_id", F.lit(True).alias("tiny"))
+    return split.join(tiny, "page_id", "left").na.fill(False, ["tiny"])
+
+
 @query
 def e1_accuracy(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(evaluation.accuracy(predictions(spark, sf)), "accuracy")

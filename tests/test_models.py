@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ def majority(vectors):
 
 @pytest.mark.parametrize(
     "model, options",
-    [("decision_tree", {}), ("svm", {"max_iter": 10}), ("naive_bayes", {}), ("mlp", {"max_iter": 40})],
+    [("decision_tree", {}), ("svm", {}), ("naive_bayes", {}), ("mlp", {"max_iter": 40})],
 )
 def test_better_than_the_majority(vectors, majority, model, options):
     predictions = experiment.run(vectors, model, "lang", "doc_id", **options)
@@ -50,8 +51,8 @@ def test_naive_bayes_table_is_the_library_model(spark):
     df = tokens.word_tokens(queries.texts(spark, GATE))
     bag = session.stage(tokens.bag_of_words(df), "bag")
     vocabulary = session.stage(tokens.prune_vocabulary(tokens.doc_frequency(bag), df), "vocabulary")
-    docs = df.select("doc_id", "lang")
-    features = tokens.feature_table(bag, vocabulary, docs)
+    docs = df.select("doc_id", "lang", "tokens")
+    features = tokens.feature_table(docs, vocabulary)
     table = models.naive_bayes_table(features, docs, vocabulary, "lang").collect()
     names = tokens.feature_names(vocabulary)
     fitted = models.naive_bayes(tokens.vectorise(df, names), "lang")
@@ -75,3 +76,62 @@ def test_too_many_classes_are_refused(spark, monkeypatch):
     df = spark.createDataFrame([(1,), (2,), (3,)], "semicentury int")
     with pytest.raises(ValueError):
         models.class_list(df, "semicentury")
+
+
+@pytest.mark.parametrize("model", ["decision_tree", "svm", "naive_bayes", "mlp"])
+def test_predictions_on_rows_of_known_classes(spark, model):
+    """Texts of three periods with words of their own: every test row gets its period."""
+    words = {1700: "estoit avoit", 1800: "etait avait", 1900: "est a"}
+    rows = [(i, label, f"{text} le la {text} w{i % 5}") for i, (label, text) in enumerate(list(words.items()) * 30)]
+    docs = spark.createDataFrame(rows, "page_id long, semicentury int, text string")
+    vectors = experiment.features(docs)[0]
+    found = experiment.run(vectors, model).collect()
+    assert len(found) == 18 and all(r["label"] == r["prediction"] for r in found)
+
+
+def test_kernel_machine_converges_and_needs_no_weights(spark, vectors):
+    fitted = models.svm(vectors.filter("split = 'train'"), "lang", size=64)
+    assert fitted.converged and len(fitted.iterations) == len(fitted.classes)
+    stopped = models.svm(vectors.filter("split = 'train'"), "lang", size=64, max_iter=2)
+    assert not stopped.converged
+    with pytest.raises(ValueError):
+        models.save(fitted, "nowhere")
+
+
+def test_projection_approximates_the_kernel():
+    draw = np.random.default_rng(1)
+    dense = draw.integers(0, 3, (40, 30)).astype(float)
+    places = [np.flatnonzero(row) for row in dense]
+    features = models.FourierFeatures(gamma=0.02, size=4096)
+    projected = features.project(places, [row[p] for row, p in zip(dense, places)])
+    kernel = np.exp(-0.02 * ((dense[:, None] - dense[None]) ** 2).sum(2))
+    assert np.abs(projected @ projected.T - kernel).max() < 0.1
+    one = features.project(places[:1], [dense[0][places[0]]])
+    assert np.allclose(one, projected[:1])
+    draws = models.normal_rows(np.arange(2000), 50, 3)
+    assert abs(draws.mean()) < 0.02 and abs(draws.std() - 1) < 0.02
+
+
+def test_a_stored_model_predicts_alike(spark, scratch):
+    rows = [(i, 1500 + 50 * (i % 3), "abc"[i % 3]) for i in range(60)]
+    df = tokens.word_tokens(spark.createDataFrame(rows, "page_id long, semicentury int, text string"))
+    vectors = tokens.vectorise(df, ["a", "b", "c"])
+    fitted = models.naive_bayes(vectors)
+    models.save(fitted, scratch + "/model")
+    again = models.load(spark, scratch + "/model", type(fitted.model))
+    assert again.classes == fitted.classes and again.label == "semicentury"
+    assert sorted(models.predict(again, vectors, "page_id").collect()) == sorted(models.predict(fitted, vectors, "page_id").collect())
+
+
+def test_subword_features_are_learned_from_training_rows(spark):
+    rows = [(i, 1800, "abab abab" if i % 4 else "abab xy") for i in range(60)]
+    docs = spark.createDataFrame(rows, "page_id long, semicentury int, text string")
+    names = experiment.features(docs, merges=2)[1]
+    assert "abab" in names and "ab" not in names
+
+
+def test_reports_are_stored(spark, scratch):
+    found = spark.createDataFrame([(1, 1800, 1800), (2, 1850, 1800)], "page_id long, label int, prediction int")
+    experiment.write_report(found, scratch + "/reports")
+    matrix = spark.read.csv(scratch + "/reports/confusion", header=True).filter("label = 1850").first()
+    assert matrix["1800"] == "1" and matrix["1850"] == "0"

@@ -19,7 +19,9 @@ def test_query_agrees_with_sql(spark, db, name):
 
 
 def test_every_query_has_sql():
-    assert set(queries.QUERIES) == set(oracles.ORACLES)
+    """Three models are beyond SQL; their predictions are tested on rows of known classes."""
+    assert set(queries.QUERIES) - set(oracles.ORACLES) == {"m1_decision_tree", "m2_svm", "m4_mlp"}
+    assert set(oracles.ORACLES) <= set(queries.QUERIES)
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 

@@ -38,7 +38,7 @@ def test_vocabulary_and_vectors_agree_with_the_library(spark):
     assert set(names) == set(library.vocabulary) and names == sorted(names)
 
     vectors = {r.doc_id: r.features for r in tokens.vectorise(df, names).collect()}
-    table = tokens.feature_table(bag, vocabulary, df.select("doc_id", "lang")).collect()
+    table = tokens.feature_table(df.select("doc_id", "lang", "tokens"), vocabulary).collect()
     assert len(table) == sum(v.numNonzeros() for v in vectors.values())
     assert all(vectors[r.doc_id][r.token_id] == r.n for r in table)
 
