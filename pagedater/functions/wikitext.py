@@ -196,7 +196,11 @@ def drop_comments(text: Column) -> Column:
 
 
 def live(text: Column) -> Column:
-    """Text without comments and without elements whose content is no markup."""
+    """Text without comments and without elements whose content is no markup.
+
+    The functions named ``live_`` take it as it is, so that a row that needs several of
+    them makes it once (``bind``).
+    """
     text = drop_comments(text)
     for name in UNPARSED:
         element = rf"(?s)<{name}(?:\s[^<>]*[^<>/])?>.*?</{name}>"
@@ -256,7 +260,11 @@ def plain_text(text: Column) -> Column:
 
 def category_names(text: Column) -> Column:
     """Sorted set of the category names a page links to."""
-    names = F.regexp_extract_all(live(text), F.lit(CATEGORY_NAME), F.lit(1))
+    return live_categories(live(text))
+
+
+def live_categories(seen: Column) -> Column:
+    names = F.regexp_extract_all(seen, F.lit(CATEGORY_NAME), F.lit(1))
     names = F.transform(names, lambda n: F.regexp_replace(n, r"\s+\z", ""))
     return F.array_sort(F.array_distinct(F.filter(names, lambda n: n != "")))
 
@@ -266,10 +274,11 @@ def template_calls(text: Column) -> Column:
 
     An outer call is listed with its inner calls blanked.
     """
-    start = F.struct(
-        live(text).alias("rest"),
-        F.array().cast("array<string>").alias("calls"),
-    )
+    return bind(live(text), live_calls)
+
+
+def live_calls(seen: Column) -> Column:
+    start = F.struct(seen.alias("rest"), F.array().cast("array<string>").alias("calls"))
 
     def peel(state: Column, _: Column) -> Column:
         found = F.regexp_extract_all(state["rest"], F.lit(TEMPLATE_BODY), F.lit(1))
@@ -278,7 +287,7 @@ def template_calls(text: Column) -> Column:
             F.concat(state["calls"], found).alias("calls"),
         )
 
-    levels = F.array_repeat(F.lit(0), nesting(live(text), r"\{\{", r"\}\}"))
+    levels = F.array_repeat(F.lit(0), nesting(seen, r"\{\{", r"\}\}"))
     return F.aggregate(levels, start, peel, lambda state: state["calls"])
 
 
@@ -289,7 +298,11 @@ def argument_value(argument: Column) -> Column:
 
 def text_quality(text: Column) -> Column:
     """Quality of the last ``TextQuality`` template, 0-100; NULL when unreadable."""
-    marks = F.regexp_extract_all(live(text), F.lit(TEXT_QUALITY), F.lit(1))
+    return live_text_quality(live(text))
+
+
+def live_text_quality(seen: Column) -> Column:
+    marks = F.regexp_extract_all(seen, F.lit(TEXT_QUALITY), F.lit(1))
     return bind(
         argument_value(F.try_element_at(marks, F.lit(-1))),
         lambda value: F.when(value == VALIDATED, F.lit(100)).otherwise(
@@ -306,7 +319,11 @@ def page_quality(text: Column) -> Column:
 
 def quality(text: Column) -> Column:
     """Template quality unless missing or 0, else the page element's."""
-    stated = bind(text_quality(text), lambda q: F.when(q != 0, q))
+    return live_quality(live(text), text)
+
+
+def live_quality(seen: Column, text: Column) -> Column:
+    stated = bind(live_text_quality(seen), lambda q: F.when(q != 0, q))
     return F.coalesce(stated, page_quality(text))
 
 
@@ -323,6 +340,10 @@ def transcludes(text: Column) -> Column:
     return embeds_by_tag(text) | embeds_by_template(text)
 
 
+def live_transcludes(seen: Column, text: Column) -> Column:
+    return embeds_by_tag(text) | seen.rlike(EMBED_TEMPLATE_CALL)
+
+
 def embed_target_tag(text: Column) -> Column:
     """Book named by the first self-closing ``pages`` element, or NULL."""
     element = F.regexp_extract(text, EMBED_ELEMENT, 0)
@@ -331,7 +352,11 @@ def embed_target_tag(text: Column) -> Column:
 
 def embed_target_template(text: Column) -> Column:
     """Book named by the first argument of the first ``page`` template, or NULL."""
-    argument = F.regexp_extract(live(text), EMBED_TEMPLATE, 1)
+    return live_target_template(live(text))
+
+
+def live_target_template(seen: Column) -> Column:
+    argument = F.regexp_extract(seen, EMBED_TEMPLATE, 1)
     return nonempty(argument_value(argument))
 
 
@@ -342,9 +367,11 @@ def numeric_title_guard(book: Column, title: Column) -> Column:
 
 def embed_target(text: Column, title: Column) -> Column:
     """Book that an embedding page belongs to. The tag decides before the template."""
-    book = F.when(embeds_by_tag(text), embed_target_tag(text)).otherwise(
-        embed_target_template(text)
-    )
+    return live_target(live(text), text, title)
+
+
+def live_target(seen: Column, text: Column, title: Column) -> Column:
+    book = F.when(embeds_by_tag(text), embed_target_tag(text)).otherwise(live_target_template(seen))
     return numeric_title_guard(book, title)
 
 
@@ -355,6 +382,10 @@ def index_years(text: Column) -> Column:
     inner links and calls are masked, so that the first closing is the template's own.
     A template that never closes has no arguments.
     """
+    return live_index_years(live(text))
+
+
+def live_index_years(seen: Column) -> Column:
 
     def arguments(rest: Column) -> Column:
         inner = mask_nested(rest, INNER_LINK, r"\[\[", r"\]\]")
@@ -365,7 +396,7 @@ def index_years(text: Column) -> Column:
         )
         return F.split(call, r"\|")
 
-    after = F.split(live(text), INDEX_TEMPLATE, -1)
+    after = F.split(seen, INDEX_TEMPLATE, -1)
     calls = F.slice(after, F.lit(2), F.size(after))
     fields = F.filter(
         F.flatten(F.transform(calls, arguments)), lambda f: f.rlike(INDEX_YEAR_FIELDS)

@@ -18,7 +18,7 @@ def book_claims(df: DataFrame) -> DataFrame:
     only when it states a year. An empty book title would match every page and is
     dropped. Takes a page table or the facts of one.
     """
-    facts = df if "book_claims" in df.columns else markup.page_facts(df)
+    facts = df if "book_claims" in df.columns else markup.page_claims(df)
     is_index = F.col("title").startswith(wt.INDEX_PREFIX)
     return facts.filter(
         (F.col("book_title") != "") & (~is_index | (F.size("book_claims") > 0))
