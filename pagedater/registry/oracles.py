@@ -326,7 +326,7 @@ ORACLES: dict[str, str] = {
     "s2_read_table": "select doc_id, lang, source, n_chars from documents",
     "s3_write_table": "select doc_id, text, lang, source, n_chars from documents",
     "s4_write_csv": "select doc_id, lang, text from documents",
-    "s5_write_json": _corpus("select distinct array_to_string(categories, '|') as categories from own"),
+    "s5_write_json": _corpus("select distinct array_to_string(categories, '|') as categories from raw"),
     "p1_drop_namespaces": _corpus(f"select page_id, title from corpus where not ({_UNWANTED})"),
     "p2_only_wikitext": _corpus("select id, title from dumped where format = 'text/x-wiki'"),
     "p3_require_text": _corpus("select id, title from dumped where title is not null and text is not null"),
@@ -341,7 +341,7 @@ ORACLES: dict[str, str] = {
     "p8_drop_transcluding": _corpus("select page_id, title from targets where not by_tag and not by_template"),
     "p9_prune": "select doc_id, source, n_chars from documents",
     "p10_drop_null_label": _corpus("select page_id, pubyear from own_years where pubyear is not null"),
-    "p11_uncategorised": _corpus("select page_id, title from own where len(categories) = 0"),
+    "p11_uncategorised": _corpus("select page_id, title from raw where len(categories) = 0"),
     "p12_titles_like": "select page_id, url from pages where starts_with(url, 'https://')",
     "p13_apply_schema": _corpus(
         "select page_id, own.title, array_to_string(categories, '|') as categories,"
@@ -392,10 +392,10 @@ ORACLES: dict[str, str] = {
         " then [null] else categories end) as category from raw) group by category"
     ),
     "a3_distinct_categories": _corpus(
-        "select distinct unnest(case when len(categories) = 0 then [null] else categories end) as category from own"
+        "select distinct unnest(case when len(categories) = 0 then [null] else categories end) as category from raw"
     ),
-    "a4_distinct_category_lists": _corpus("select distinct array_to_string(categories, '|') as categories from own"),
-    "a5_distinct_category_strings": _corpus("select distinct array_to_string(categories, ',') as categories from own"),
+    "a4_distinct_category_lists": _corpus("select distinct array_to_string(categories, '|') as categories from raw"),
+    "a5_distinct_category_strings": _corpus("select distinct array_to_string(categories, ',') as categories from raw"),
     "a6_year_distribution": _corpus(
         "select pubyear, count(*) as pages, cast(sum(n_chars) as bigint) as characters"
         " from raw_years group by pubyear"

@@ -178,7 +178,7 @@ def s4_write_csv(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def s5_write_json(spark: SparkSession, sf: str) -> DataFrame:
     path = session.staging_path(spark, "json")
-    tables.write_json(distributions.distinct_category_lists(own_categories(spark, sf)), path)
+    tables.write_json(distributions.distinct_category_lists(raw(spark, sf)), path)
     lists = spark.read.schema("categories array<string>").json(path)
     return lists.select(F.array_join("categories", "|").alias("categories"))
 
@@ -246,7 +246,7 @@ def p10_drop_null_label(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def p11_uncategorised(spark: SparkSession, sf: str) -> DataFrame:
-    return pages.uncategorised(own_categories(spark, sf)).select("page_id", "title")
+    return pages.uncategorised(raw(spark, sf)).select("page_id", "title")
 
 
 @query
@@ -372,18 +372,18 @@ def a2_category_distribution(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def a3_distinct_categories(spark: SparkSession, sf: str) -> DataFrame:
-    return distributions.distinct_categories(own_categories(spark, sf))
+    return distributions.distinct_categories(raw(spark, sf))
 
 
 @query
 def a4_distinct_category_lists(spark: SparkSession, sf: str) -> DataFrame:
-    lists = distributions.distinct_category_lists(own_categories(spark, sf))
+    lists = distributions.distinct_category_lists(raw(spark, sf))
     return lists.select(F.array_join("categories", "|").alias("categories"))
 
 
 @query
 def a5_distinct_category_strings(spark: SparkSession, sf: str) -> DataFrame:
-    return distributions.distinct_category_strings(own_categories(spark, sf))
+    return distributions.distinct_category_strings(raw(spark, sf))
 
 
 @query
