@@ -3,11 +3,13 @@
 Every language has a codeword; a binary classifier per bit, over hashed character n-grams,
 tells the languages with that bit set from the others. A text gets a margin per bit, and
 the codeword with the smallest loss wins, where the loss of each bit is weighted by how well
-its classifier did in the fit. Two codewords at nearly the same loss flag an ambiguous text.
+its classifier did on texts that it was not fitted to. The same margins set how far a loss
+counts in the score. Two codewords at nearly the same loss flag an ambiguous text.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,6 +29,9 @@ MOST_LANGUAGES = 1000
 BUCKETS = 1 << 14
 GRAMS = (1, 2, 3, 4)
 AMBIGUOUS = 0.1
+FOLDS = 5
+#: Factors of the losses in the score; the one under which texts left out are likeliest is taken.
+SCALES = (0.25, 0.5, 1.0, 2.0, 4.0, 8.0)
 UNKNOWN = "und"
 
 PREDICTIONS = "doc_id long, lang_pred string, score double, ambiguous boolean"
@@ -66,6 +71,7 @@ class Model:
     weights: np.ndarray
     bias: np.ndarray
     bit_weight: np.ndarray
+    scale: float = 1.0
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
         """(language, confidence, ambiguous) per text; texts without a letter are unknown."""
@@ -75,28 +81,25 @@ class Model:
                 out.append((UNKNOWN, 0.0, False))
                 continue
             margin = np.clip(np.sqrt(counts(text)) @ self.weights + self.bias, -3, 3)
-            loss = (np.log1p(np.exp(-self.code * margin)) * self.bit_weight).sum(1)
-            share = np.exp(loss.min() - loss)
-            share /= share.sum()
-            best = int(loss.argmin())
+            share = shares(margin[None, :], self.code, self.bit_weight, self.scale)[0]
+            best = int(share.argmax())
             rival = np.sort(share)[-2] if len(share) > 1 else 0.0
             out.append((self.languages[best], float(share[best]), bool(share[best] - rival < AMBIGUOUS)))
         return out
 
 
-def train(samples: list[tuple[str, str]], ridge: float = 1.0) -> Model:
-    """Fit the bit classifiers to (language, text): ridge regression on the codewords' bits.
+def shares(margin: np.ndarray, code: np.ndarray, bit_weight: np.ndarray, scale: float) -> np.ndarray:
+    """Shares of the codewords per row of margins, by their weighted logistic losses."""
+    loss = (np.log1p(np.exp(-code[None] * margin[:, None, :])) * bit_weight).sum(2) * scale
+    share = np.exp(loss.min(1, keepdims=True) - loss)
+    return share / share.sum(1, keepdims=True)
+
+
+def ridge_fit(x: np.ndarray, label: np.ndarray, code: np.ndarray, ridge: float) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and biases of all bits. Each language weighs the same, however many texts it has.
 
     Rows are far fewer than buckets, so the regression is solved in the space of rows.
     """
-    languages = sorted({lang for lang, _ in samples})
-    code = codewords(len(languages))
-    if not samples:
-        return Model([], code, np.zeros((BUCKETS, 1), np.float32), np.zeros(1), np.ones(1))
-    at = {lang: i for i, lang in enumerate(languages)}
-    label = np.array([at[lang] for lang, _ in samples])
-    x = np.sqrt(np.array([counts(text) for _, text in samples], np.float32))
-    # Each language weighs the same, however many texts it has.
     weight = np.sqrt(1.0 / np.bincount(label)[label])
     weight *= np.sqrt(len(label)) / np.linalg.norm(weight)
     mean = np.average(x, axis=0, weights=weight**2)
@@ -107,11 +110,42 @@ def train(samples: list[tuple[str, str]], ridge: float = 1.0) -> Model:
     scale = ridge * np.trace(gram) / len(gram) * 0.01 + 1e-9
     alpha = np.linalg.solve(gram + scale * np.eye(len(gram)), (target - offset) * weight[:, None])
     w = xc.T @ alpha
-    bias = offset - mean @ w
-    margin = x @ w + bias
-    right = np.clip(np.mean(np.sign(margin) == target, axis=0), 0.5, 0.999)
-    # The weight of a bit grows with the odds that its classifier is right.
-    return Model(languages, code, w.astype(np.float32), bias, np.log(right / (1 - right)) + 0.1)
+    return w, offset - mean @ w
+
+
+def train(samples: list[tuple[str, str]], ridge: float = 1.0) -> Model:
+    """Fit the bit classifiers to (language, text): ridge regression on the codewords' bits.
+
+    Margins of texts left out, fold by fold, give the bits' weights and the scale of the
+    score; equal texts are in one fold.
+    """
+    languages = sorted({lang for lang, _ in samples})
+    code = codewords(len(languages))
+    if not samples:
+        return Model([], code, np.zeros((BUCKETS, 1), np.float32), np.zeros(1), np.ones(1))
+    at = {lang: i for i, lang in enumerate(languages)}
+    label = np.array([at[lang] for lang, _ in samples])
+    x = np.sqrt(np.array([counts(text) for _, text in samples], np.float32))
+    w, bias = ridge_fit(x, label, code, ridge)
+    fold = np.array([zlib.crc32(text.encode("utf-8", "surrogatepass")) % FOLDS for _, text in samples])
+    margin = np.full((len(label), code.shape[1]), np.nan)
+    for k in range(FOLDS):
+        out, rest = fold == k, fold != k
+        if out.any() and rest.any():
+            fold_w, fold_bias = ridge_fit(x[rest], label[rest], code, ridge)
+            margin[out] = x[out] @ fold_w + fold_bias
+    seen = ~np.isnan(margin).any(1)
+    if not seen.any():
+        return Model(languages, code, w.astype(np.float32), bias, np.ones(code.shape[1]))
+    margin, truth = np.clip(margin[seen], -3, 3), label[seen]
+    # A bit's error is the mean chance its margins give to the wrong side; its weight the odds.
+    error = 1 / (1 + np.exp(2 * code[truth] * margin))
+    miss = np.clip(error.mean(0), 1e-3, 0.5)
+    bit_weight = np.log((1 - miss) / miss) + 1e-3
+    bit_weight /= bit_weight.mean()
+    rows = np.arange(len(truth))
+    likely = [np.log(shares(margin, code, bit_weight, c)[rows, truth] + 1e-12).mean() for c in SCALES]
+    return Model(languages, code, w.astype(np.float32), bias, bit_weight, SCALES[int(np.argmax(likely))])
 
 
 def fit(docs: DataFrame, texts: int = SAMPLE_TEXTS, text_bytes: int = SAMPLE_BYTES) -> Model:
