@@ -1,18 +1,26 @@
 """Secrets in texts, found with column functions only.
 
-Three patterns give the base spans. To them come strings that look drawn at random: runs
-of 20 or more characters of an encoding, with a digit and a letter, whose encoding is
-inferred from the characters in use (decimal digits alone are no encoding here). A battery
-of three tests asks whether a string may be uniform in its alphabet: chi-squared over the
-characters, runs above and below the middle, and the correlation of neighbours. Fisher's
-method joins the three. Within each band of lengths (a power of two) the procedure of
-Benjamini and Hochberg decides which strings are structured, at a false-discovery rate;
-the others, that can't be told from random ones, are reported.
+Three patterns give the base spans. To them come strings of 20 or more characters that look
+drawn at random. The encoding of a string is the smallest alphabet that holds it, so every
+string has one. A battery of three tests asks whether it may be uniform in that alphabet:
+chi-squared over the characters (pooled, so that a cell expects five or more), runs above and
+below the middle, and the correlation of neighbours; Fisher's method joins the three. What
+the battery calls structured is no secret. The others are tested against ordinary words and
+numbers: letters and digits of all texts, those strings left out, tell how surprising as many
+letters and digits are on average and how far that varies, and a string's own surprise gives
+its p-value, as does the chance that its letters, if all are hex digits, would be so. Published shares of English letters give another such value, and the larger one
+counts, so that a table of few words can't make ordinary letters rare. Within each band of lengths (a power of two) the procedure of Benjamini and
+Hochberg keeps the share of ordinary strings among those reported below a rate.
+
+Null and empty texts have no spans. Digits are alike in the published shares, so a string of
+digits alone, which might be any number, is not reported.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,13 +37,25 @@ ACCESS = "AKIA[A-Z0-9]{16,}"
 HEX = "[0-9a-f]{24,}"
 
 CANDIDATE = "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
-#: Share of the strings called structured that may be random ones.
+#: Share of the strings reported as random that may be ordinary ones.
 FALSE_DISCOVERY = 0.01
+#: Strings whose joint p-value under "uniform" lies below this are structured.
+STRUCTURED = 0.001
+#: Letters of a word depend on each other: variance of a string's surprise over that of letters drawn one by one.
+SPREAD = 1.5
+#: Weight of the chance of hex letters beside that of the surprise (a weighted Bonferroni bound).
+HEX_SHARE = 0.2
+#: Characters of a pooled cell of the chi-squared test, on average.
+CELL = 5
 #: Joint p-values fall into bins of this many to a factor of ten; the last bin holds all below.
 BINS_PER_TEN = 20
 LAST_BIN = 20 * 300
 
 ALPHABETS = {
+    "digits": "0123456789",
+    "lower": "abcdefghijklmnopqrstuvwxyz",
+    "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "letters": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "hex": "0123456789abcdef",
     "hex_upper": "0123456789ABCDEF",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
@@ -44,7 +64,14 @@ ALPHABETS = {
     "base62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
     "base64_url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
+    "mixed": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_",
 }
+# Letters in English texts, a to z, in thousandths of a per cent.
+ENGLISH = (
+    8167, 1492, 2782, 4253, 12702, 2228, 2015, 6094, 6966, 153, 772, 4025, 2406,
+    6749, 7507, 1929, 95, 5987, 6327, 9056, 2758, 978, 2360, 150, 1974, 74,
+)
+COUNTED = ALPHABETS["base36"]
 CHUNK = 64
 
 
@@ -102,21 +129,24 @@ def _spans(matches: Column, text: Column, pattern: str) -> Column:
 
 
 def _alphabet(value: Column) -> Column:
-    """The smallest alphabet that holds the string, digits or letters alone giving none."""
+    """The smallest alphabet that holds the string."""
     body = F.rtrim(value, F.lit("="))
-    out = F.when(~body.rlike("[0-9]") | ~body.rlike("[A-Za-z]"), F.lit(None).cast("string"))
+    out = F.when(body.rlike("^[0-9]+$"), F.lit(ALPHABETS["digits"]))
     for name, pattern in (
         ("hex", "^[0-9a-f]+$"),
         ("hex_upper", "^[0-9A-F]+$"),
+        ("lower", "^[a-z]+$"),
+        ("upper", "^[A-Z]+$"),
         ("base32", "^[A-Z2-7]+$"),
         ("base36", "^[0-9a-z]+$"),
         ("base36_upper", "^[0-9A-Z]+$"),
+        ("letters", "^[A-Za-z]+$"),
         ("base62", "^[0-9A-Za-z]+$"),
         ("base64", "^[0-9A-Za-z+/]+$"),
         ("base64_url", "^[0-9A-Za-z_-]+$"),
     ):
         out = out.when(body.rlike(pattern), F.lit(ALPHABETS[name]))
-    return out
+    return out.otherwise(F.lit(ALPHABETS["mixed"]))
 
 
 def _upper_tail(z: Column) -> Column:
@@ -129,34 +159,40 @@ def _upper_tail(z: Column) -> Column:
 
 
 def _joint_p(value: Column) -> Column:
-    """Joint p-value of the three tests against "uniform in its alphabet"; null without an alphabet."""
+    """Joint p-value of the three tests against "uniform in its alphabet"."""
 
     def coded(known: Column) -> Column:
         codes = F.transform(F.split(known["body"], ""), lambda c: F.instr(known["letters"], c) - 1)
-        return F.struct(codes.alias("x"), F.length(known["letters"]).alias("k"), F.length(known["body"]).alias("n"))
+        k, n = F.length(known["letters"]), F.length(known["body"])
+        cells = F.greatest(F.lit(2), F.least(k, F.floor(n / CELL).cast("int")))
+        return F.struct(codes.alias("x"), k.alias("k"), n.alias("n"), cells.alias("cells"))
 
     def sums(s: Column) -> Column:
-        x, k = s["x"], s["k"]
-        squares = F.aggregate(
-            F.sequence(F.lit(0), k - 1),
-            F.lit(0).cast("long"),
-            lambda a, c: a + _bind(F.size(F.filter(x, lambda v: v == c)).cast("long"), lambda m: m * m),
-        )
+        x, k, cells = s["x"], s["k"], s["cells"]
+
+        def cell(j: Column) -> Column:
+            width = F.ceil((j + 1) * k / cells) - F.ceil(j * k / cells)
+            held = F.size(F.filter(x, lambda v: F.floor(v * cells / k) == j)).cast("double")
+            return held * held / width
+
+        squares = _sum(F.transform(F.sequence(F.lit(0), cells - 1), cell), "double")
         high = _sum(F.transform(x, lambda v: (v * 2 >= k).cast("long")))
         turns = _sum(F.transform(x, lambda v, i: F.coalesce(((F.get(x, i - 1) * 2 >= k) != (v * 2 >= k)).cast("long"), F.lit(0))))
         return F.struct(
             x.alias("x"),
-            k.alias("k"),
             s["n"].cast("double").alias("n"),
-            squares.alias("squares"),
+            (squares * k / s["n"] - s["n"]).alias("chi"),
+            (cells - 1).cast("double").alias("free"),
             high.cast("double").alias("high"),
             (turns + 1).alias("runs"),
             (_sum(x, "double") / s["n"]).alias("mean"),
         )
 
     def z_scores(s: Column) -> Column:
-        x, n, k, mean = s["x"], s["n"], s["k"], s["mean"]
-        chi = (k * s["squares"] / n - n - (k - 1)) / F.sqrt(2.0 * (k - 1) * (n - 1) / n)
+        x, n, free, mean = s["x"], s["n"], s["free"], s["mean"]
+        # Wilson and Hilferty: the cube root of a chi-squared value is nearly normal.
+        part = 2 / (9 * free)
+        chi = (F.cbrt(F.greatest(s["chi"], F.lit(0.0)) / free) - (1 - part)) / F.sqrt(part)
         expected = 2 * s["high"] * (n - s["high"]) / n + 1
         runs = F.when(expected <= 2, F.lit(9.0)).otherwise(
             F.abs(s["runs"] - expected) / F.sqrt((expected - 1) * (expected - 2) / (n - 1))
@@ -172,13 +208,7 @@ def _joint_p(value: Column) -> Column:
         return _bind(half, lambda h: F.exp(-h) * (1 + h + h * h / 2))
 
     known = F.struct(F.rtrim(value, F.lit("=")).alias("body"), _alphabet(value).alias("letters"))
-    return _bind(
-        known,
-        lambda w: F.when(
-            w["letters"].isNotNull(),
-            _bind(_bind(_bind(coded(w), sums), z_scores), fisher),
-        ),
-    )
+    return _bind(known, lambda w: _bind(_bind(_bind(coded(w), sums), z_scores), fisher))
 
 
 def _span(kind: int, start: Column, end: Column) -> Column:
@@ -188,8 +218,9 @@ def _span(kind: int, start: Column, end: Column) -> Column:
 def tested(docs: DataFrame) -> DataFrame:
     """Base spans and tested strings of every whole text, beside the columns given.
 
-    Adds ``base`` (start, kind, end) and ``tried`` (start, end, band, p). Null and empty
-    texts have none of either.
+    Adds ``base`` (start, kind, end), ``tried`` (start, end, band, body, uniform) and
+    ``counted``, how often each letter and digit stands outside the tested strings. Null and
+    empty texts have none of either.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     found = docs.select(
@@ -216,20 +247,90 @@ def tested(docs: DataFrame) -> DataFrame:
             s["start"].alias("start"),
             s["end"].alias("end"),
             F.floor(F.log2((s["end"] - s["start"]).cast("double"))).cast("int").alias("band"),
-            _joint_p(s["value"]).alias("p"),
+            F.lower(F.rtrim(s["value"], F.lit("="))).alias("body"),
+            _joint_p(s["value"]).alias("uniform"),
         ),
     )
-    return found.withColumn("base", F.sort_array(F.concat(*base))).withColumn(
-        "tried", F.filter(tried, lambda s: s["p"].isNotNull())
-    ).drop("_assign", "_values", "_access", "_hex", "_tokens")
+    words = F.lower(F.when(F.size("_tokens") > 0, F.regexp_replace(text, CANDIDATE, " ")).otherwise(text))
+
+    def counted(w: Column) -> Column:
+        return F.array(*(F.octet_length(w) - F.octet_length(F.replace(w, F.lit(c), F.lit(""))) for c in COUNTED))
+
+    return (
+        found.withColumn("base", F.sort_array(F.concat(*base)))
+        .withColumn("tried", tried)
+        .withColumn("_words", words)
+        .withColumn("counted", counted(F.col("_words")))
+        .drop("_assign", "_values", "_access", "_hex", "_tokens", "_words")
+    )
+
+
+@dataclass(frozen=True)
+class Ordinary:
+    """How surprising letters (and digits) of ordinary words (and numbers) are: -ln of their
+    share among all letters (digits), each counted once more than it occurs."""
+
+    surprise: dict[str, float]
+    mean: tuple[float, float]
+    variance: tuple[float, float]
+    hex_letters: float
+
+
+def ordinary(counts: dict[str, int]) -> Ordinary:
+    """Mean and variance of the surprise of a letter and of a digit, drawn by their counts."""
+    surprise, mean, variance = {}, [], []
+    for kind in (ALPHABETS["lower"], ALPHABETS["digits"]):
+        total = sum(counts.get(c, 0) + 1 for c in kind)
+        share = {c: (counts.get(c, 0) + 1) / total for c in kind}
+        each = {c: -math.log(p) for c, p in share.items()}
+        surprise |= each
+        mean.append(sum(share[c] * each[c] for c in kind))
+        variance.append(sum(share[c] * (each[c] - mean[-1]) ** 2 for c in kind))
+    hex_letters = sum(math.exp(-surprise[c]) for c in "abcdef")
+    return Ordinary(surprise, tuple(mean), tuple(variance), hex_letters)
+
+
+def ordinary_letters(known: DataFrame) -> list[Ordinary]:
+    """Published shares, and those of all texts if they hold any letter or digit; a row of 36
+    sums leaves each task."""
+    row = known.agg(*(F.sum(F.get("counted", i).cast("long")).alias(f"n{i}") for i in range(len(COUNTED)))).first()
+    counts = {c: int(row[i] or 0) for i, c in enumerate(COUNTED)}
+    published = ordinary(dict(zip(ALPHABETS["lower"], ENGLISH)))
+    return [published, ordinary(counts)] if any(counts.values()) else [published]
+
+
+def _ordinary_p(s: Column, nulls: list[Ordinary]) -> Column:
+    """Chance that ordinary letters and digits, as many of each, surprise as much; 1 for structured strings."""
+
+    def total(null: Ordinary) -> Column:
+        table = F.create_map(*(F.lit(x) for pair in null.surprise.items() for x in pair))
+        return _sum(F.transform(F.split(s["body"], ""), lambda c: F.coalesce(F.try_element_at(table, c), F.lit(0.0))), "double")
+
+    def tail(n: Column) -> Column:
+        each = []
+        for i, null in enumerate(nulls):
+            mean = n["letters"] * null.mean[0] + n["digits"] * null.mean[1]
+            variance = SPREAD * (n["letters"] * null.variance[0] + n["digits"] * null.variance[1])
+            rare = F.when(variance > 1e-9, _upper_tail((n[f"s{i}"] - mean) / F.sqrt(variance))).otherwise(F.lit(1.0))
+            all_hex = F.when(n["hex"], F.pow(F.lit(null.hex_letters), n["letters"])).otherwise(F.lit(1.0))
+            each.append(F.least(rare / (1 - HEX_SHARE), all_hex / HEX_SHARE, F.lit(1.0)))
+        return F.greatest(*each, F.lit(0.0))
+
+    both = F.struct(
+        F.length(F.regexp_replace(s["body"], "[^a-z]", "")).cast("double").alias("letters"),
+        F.length(F.regexp_replace(s["body"], "[^0-9]", "")).cast("double").alias("digits"),
+        (~s["body"].rlike("[g-z]")).alias("hex"),
+        *(total(null).alias(f"s{i}") for i, null in enumerate(nulls)),
+    )
+    return F.when(s["uniform"] < STRUCTURED, F.lit(1.0)).otherwise(_bind(both, tail))
 
 
 def _bin(p: Column) -> Column:
     return F.least(F.floor(-F.log10(F.greatest(p, F.lit(1e-300))) * BINS_PER_TEN), F.lit(LAST_BIN)).cast("int")
 
 
-def least_random_bin(tried: DataFrame, rate: float = FALSE_DISCOVERY) -> dict[int, int]:
-    """Per band of lengths the first bin of p-values whose strings are structured.
+def first_reported_bin(tried: DataFrame, rate: float = FALSE_DISCOVERY) -> dict[int, int]:
+    """Per band of lengths the first bin of p-values whose strings are reported.
 
     Benjamini and Hochberg over counts per band and bin: at most 32 bands of 6,001 bins,
     whatever the number of strings. A bin counts as its largest p-value.
@@ -248,17 +349,23 @@ def find_spans(docs: DataFrame, rate: float = FALSE_DISCOVERY) -> DataFrame:
     A random-looking string that overlaps a base span adds nothing.
     """
     known = stage(tested(docs), "tested")
-    cuts = least_random_bin(known.select(F.explode("tried").alias("t")).select("t.band", "t.p"), rate)
-    limit = F.lit(LAST_BIN + 1)
+    nulls = ordinary_letters(known)
+    known = known.withColumn(
+        "tried",
+        F.transform("tried", lambda s: F.struct(s["start"], s["end"], s["band"], _ordinary_p(s, nulls).alias("p"))),
+    )
+    cuts = first_reported_bin(known.select(F.explode("tried").alias("t")).select("t.band", "t.p"), rate)
     if cuts:
         by_band = F.create_map(*(F.lit(x) for pair in sorted(cuts.items()) for x in pair))
-    random = F.filter(
-        F.col("tried"),
-        lambda s: (_bin(s["p"]) < (F.coalesce(by_band[s["band"]], limit) if cuts else limit))
-        & ~F.exists(F.col("base"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
-    )
-    spans = F.concat(F.col("base"), F.transform(random, lambda s: _span(3, s["start"], s["end"])))
-    return known.withColumn("spans", F.sort_array(spans)).drop("tried")
+        random = F.filter(
+            F.col("tried"),
+            lambda s: (_bin(s["p"]) >= F.coalesce(F.try_element_at(by_band, s["band"]), F.lit(LAST_BIN + 1)))
+            & ~F.exists(F.col("base"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
+        )
+        spans = F.concat(F.col("base"), F.transform(random, lambda s: _span(3, s["start"], s["end"])))
+    else:
+        spans = F.col("base")
+    return known.withColumn("spans", F.sort_array(spans)).drop("tried", "counted")
 
 
 def _written(spans: Column) -> Column:
@@ -285,7 +392,8 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", rate: float = FALSE_DISCOVER
 
     Overlapping spans are replaced as one. All columns are kept; null texts stay null.
     """
-    found = find_spans(docs, rate)
+    rows = docs.select(F.col("text"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    found = find_spans(rows, rate)
 
     def step(done: Column, s: Column) -> Column:
         fresh = s["start"] >= done["end"]
@@ -300,4 +408,4 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", rate: float = FALSE_DISCOVER
         F.col("spans"), start, step, lambda x: F.concat(x["out"], F.substring(F.col("text"), (x["end"] + 1).cast("int"), F.length("text")))
     )
     text = F.when(F.size("spans") > 0, redacted).otherwise(F.col("text"))
-    return found.withColumn("text", text).select(*docs.columns)
+    return found.select(*(text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))

@@ -1,6 +1,7 @@
 """Operators over documents: brute force, round trips, held-out accuracy, odd input."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -217,6 +218,7 @@ def test_held_out_languages(spark):
     found = language.identify(docs).filter("held_out").join(docs.select("doc_id", "lang"), "doc_id").collect()
     assert np.mean([r["lang"] == r["lang_pred"] for r in found]) > 0.97
     code = language.codewords(4)
+    assert np.mean([r["score"] for r in found]) > 0.9
     assert code.shape == (4, 7) and min((a != b).sum() for i, a in enumerate(code) for b in code[:i]) == 4
 
 
@@ -322,6 +324,90 @@ def test_secret_spans(spark):
     assert clean[4] == "key [SECRET] end" and clean[5] == "[SECRET] " * 300
 
 
+def joint_p(token):
+    """The battery and Fisher's method in numpy, normal tails from math.erfc."""
+    tail = lambda z: 0.5 * math.erfc(z / math.sqrt(2))
+    body = token.rstrip("=")
+    letters = min((a for a in secrets.ALPHABETS.values() if set(body) <= set(a)), key=len)
+    x, k, n = np.array([letters.index(c) for c in body]), len(letters), len(body)
+    cells = max(2, min(k, n // 5))
+    held, width = np.bincount(x * cells // k, minlength=cells), np.bincount(np.arange(k) * cells // k, minlength=cells)
+    chi = (held**2 * k / width).sum() / n - n
+    part = 2 / (9 * (cells - 1))
+    zs = [(np.cbrt(max(chi, 0) / (cells - 1)) - 1 + part) / math.sqrt(part)]
+    up = x * 2 >= k
+    expected = 2 * up.sum() * (n - up.sum()) / n + 1
+    turns = 1 + (up[1:] != up[:-1]).sum()
+    zs.append(9 if expected <= 2 else abs(turns - expected) / math.sqrt((expected - 1) * (expected - 2) / (n - 1)))
+    gap = x - x.mean()
+    zs.append(9 if not gap.any() else abs((gap[1:] * gap[:-1]).sum() / (gap**2).sum()) * math.sqrt(n))
+    half = -sum(math.log(max(p, 1e-300)) for p in (tail(zs[0]), min(1, 2 * tail(zs[1])), min(1, 2 * tail(zs[2]))))
+    return math.exp(-half) * (1 + half + half * half / 2)
+
+
+def ordinary_p(token, counts):
+    """The larger of the p-values by letters of the texts and by published ones."""
+    best = 0.0
+    for null in (counts, dict(zip("abcdefghijklmnopqrstuvwxyz", secrets.ENGLISH))):
+        gap = spread = 0.0
+        for kind in ("abcdefghijklmnopqrstuvwxyz", "0123456789"):
+            q = np.array([null.get(c, 0) + 1 for c in kind]) / sum(null.get(c, 0) + 1 for c in kind)
+            s = -np.log(q)
+            own = [s[kind.index(c)] for c in token.lower() if c in kind]
+            gap += sum(own) - len(own) * (q @ s)
+            spread += secrets.SPREAD * len(own) * (q @ (s - q @ s) ** 2)
+            if kind[0] == "a":
+                all_hex = 1.0 if re.search("[g-z]", token.lower()) else q[:6].sum() ** len(own)
+        rare = 0.5 * math.erfc(gap / math.sqrt(2 * spread)) if spread > 1e-9 else 1.0
+        best = max(best, min(1.0, rare / (1 - secrets.HEX_SHARE), all_hex / secrets.HEX_SHARE))
+    return best
+
+
+def test_random_strings_among_identifiers(spark):
+    draw = random.Random(4)
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{GATE}/documents.parquet").collect()}
+    words = sorted({w for t in texts.values() for w in re.findall("[a-z]{4,}", t)})
+    named, keys = set(), {}
+    for i in range(10**7, 10**7 + 900):
+        picked = draw.sample(words, 4)
+        token = (
+            "".join(w.capitalize() for w in picked[:3]) + str(draw.randrange(1000)),
+            "_".join(picked),
+            "/".join(picked),
+        )[i % 3]
+        named.add(i)
+        texts[i] = f"call {token} now"
+    alphabets = [a for a in secrets.ALPHABETS if a not in ("digits", "hex")]
+    for i in range(2 * 10**7, 2 * 10**7 + 450):
+        letters = secrets.ALPHABETS[alphabets[i % len(alphabets)]]
+        keys[i] = "".join(draw.choice(letters) for _ in range((20, 32, 44)[i % 3]))
+        texts[i] = f"see {keys[i]} there"
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(8)
+    found = {r["doc_id"]: r["spans"] for r in secrets.secret_report(docs).collect()}
+    assert sum(found[i] == f"random:4:{4 + len(k)}" for i, k in keys.items()) >= 0.9 * len(keys)
+    assert sum("random" in found[i] for i in named) <= 0.01 * len(named)
+
+    tried, counts = defaultdict(list), Counter()
+    for i, text in texts.items():
+        counts.update(c for c in re.sub(secrets.CANDIDATE, " ", text).lower() if c in secrets.COUNTED)
+        for m in re.finditer(secrets.CANDIDATE, text):
+            tried[(m.end() - m.start()).bit_length()].append((i, m.start(), m.end(), m[0].rstrip("=")))
+    expected, near = defaultdict(set), set()
+    for band in tried.values():
+        ps = np.array([1.0 if joint_p(t) < secrets.STRUCTURED else ordinary_p(t, counts) for *_, t in band])
+        edges = 10.0 ** (-np.floor(-np.log10(np.maximum(ps, 1e-300)) * secrets.BINS_PER_TEN) / secrets.BINS_PER_TEN)
+        cut = max((e for e in edges if e <= secrets.FALSE_DISCOVERY * (edges <= e).sum() / len(ps)), default=0)
+        for (i, start, end, token), p, e in zip(band, ps, edges):
+            # The tails in columns are approximate, so values next to a threshold may fall on either side.
+            if abs(math.log(joint_p(token) / secrets.STRUCTURED)) < 0.01 or cut and abs(math.log(p / cut)) < 0.3:
+                near.add(i)
+            if e <= cut and not any(a < end and start < b for a, _, b in base_spans(texts[i])):
+                expected[i].add(f"random:{start}:{end}")
+    assert len(near) < 0.05 * len(keys)
+    for i in set(texts) - near:
+        assert {s for s in found[i].split(",") if s.startswith("random")} == expected[i]
+
+
 def test_pieces_are_the_tokenizers_ids(spark, odd):
     from tokenizers import Tokenizer
 
