@@ -1,7 +1,9 @@
 """WARC archives with revisit records: written, resolved and read back on Spark.
 
-Pages become records; headers are shuffled by payload digest, the page with the largest
+Pages become records; headers alone are shuffled by payload digest, the page with the largest
 id of a digest keeps the payload, and the others become revisit records that refer to it.
+Payloads move once, to the task that writes their archive, and those of frequent digests'
+revisits do not move at all.
 Archives are plain files in a shared folder: the records are text, and the writer's line
 separator is the blank lines that end a record, so any file system that Spark writes to
 will do. Each archive is a gzip file of bounded size and is read back by Content-Length.
@@ -17,10 +19,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagedater.llm.common import picked
+from pagedater.session import stage
 
 #: Payload bytes that an archive file holds on average.
 ARCHIVE_BYTES = 16 * 1024 * 1024
-#: Parts that the pages of one digest are dealt into.
+#: Digests of more than one row in HOT are joined by broadcast: at most HOT of them, whatever the rows.
+HOT = 1000
+#: Parts that the pages of any other digest are dealt into.
 SALTS = 32
 #: The table has no time of capture; a fixed one keeps archives reproducible.
 DATE = "2020-01-01T00:00:00Z"
@@ -52,27 +57,66 @@ def page_payloads(pages: DataFrame) -> DataFrame:
     )
 
 
-def resolve_revisits(payloads: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Add ``record_type`` and ``refers_to`` to payloads (page_id, payload_bytes, payload_digest, ...).
+def repeated_digests(headers: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """Digests of at least ``min_bytes`` that several rows share: payload_digest, original, copies.
 
-    Of equal payloads of at least ``min_bytes`` the page with the largest id is the response;
-    rows that repeat that id are responses too, since nothing may revisit itself. Null ids
-    lose against others; where a digest has only null ids, all are responses.
+    The original is the largest page id; null ids lose against others.
     """
-    originals = (
-        payloads.filter(F.col("payload_bytes") >= min_bytes)
+    return (
+        headers.filter(F.col("payload_bytes") >= min_bytes)
         .groupBy("payload_digest")
-        .agg(F.max("page_id").alias("_original"), F.count("*").alias("_copies"))
-        .filter(F.col("_copies") > 1)
-        .select("payload_digest", "_original", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+        .agg(F.max("page_id").alias("original"), F.count("*").alias("copies"))
+        .filter(F.col("copies") > 1)
     )
-    salted = payloads.withColumn("_salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
-    joined = salted.join(originals, ["payload_digest", "_salt"], "left")
-    revisit = F.col("_original").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_original"))
-    return joined.select(
-        *payloads.columns,
-        F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-        F.when(revisit, F.col("_original")).alias("refers_to"),
+
+
+def resolve_revisits(payloads: DataFrame, min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
+    """page_id, url, payload, its bytes and digest, ``record_type`` and ``refers_to``.
+
+    A partition holds about ``archive_bytes`` of payload; one page may make it larger.
+
+    A row whose digest is repeated and whose id is not the original's is a revisit; rows that
+    repeat that id are responses too, since nothing may revisit itself. Where a digest has
+    only null ids, all are responses. Revisits of frequent digests come without payload.
+    """
+    headers = stage(payloads.select("page_id", "payload_bytes", "payload_digest"), "headers")
+    repeated = stage(repeated_digests(headers, min_bytes), "repeated")
+    size = headers.agg(F.count("*").alias("rows"), F.coalesce(F.sum("payload_bytes"), F.lit(0)).alias("bytes")).first()
+    parts = max(1, -(-int(size["bytes"]) // archive_bytes))
+    often = F.col("copies") > F.lit(size["rows"]) / HOT
+    hot = repeated.filter(often).select("payload_digest", F.col("original").alias("_hot"), F.lit(True).alias("_often"))
+    rest = repeated.filter(~often).select(
+        F.col("payload_digest").alias("_key"),
+        F.col("original").alias("_original"),
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"),
+    )
+
+    def other(original: str) -> Column:
+        return F.col(original).isNotNull() & ~F.col("page_id").eqNullSafe(F.col(original))
+
+    own = F.xxhash64("page_id", "url")
+    # Rows of frequent digests are settled here and spread by their own hash.
+    marked = payloads.join(F.broadcast(hot), "payload_digest", "left").select(
+        "page_id",
+        "url",
+        F.when(other("_hot"), "").otherwise(F.col("payload")).alias("payload"),
+        "payload_bytes",
+        "payload_digest",
+        "_hot",
+        F.when(F.col("_often"), own.cast("string")).otherwise(F.col("payload_digest")).alias("_key"),
+        F.pmod(own, F.lit(SALTS)).cast("int").alias("_salt"),
+    )
+    place = ("_key", "_salt")
+    joined = marked.repartition(parts, *place).join(rest.repartition(parts, *place).hint("shuffle_hash"), list(place), "left")
+    original = F.coalesce("_hot", "_original")
+    return joined.withColumn("_original", original).select(
+        "page_id",
+        "url",
+        "payload",
+        "payload_bytes",
+        "payload_digest",
+        F.when(other("_original"), "revisit").otherwise("response").alias("record_type"),
+        F.when(other("_original"), F.col("_original")).alias("refers_to"),
     )
 
 
@@ -118,15 +162,9 @@ def records(resolved: DataFrame) -> DataFrame:
     return resolved.select(F.concat(head, block).alias("value"))
 
 
-def write_archives(resolved: DataFrame, path: str, total_bytes: int, archive_bytes: int = ARCHIVE_BYTES) -> None:
-    """Write archives of about ``archive_bytes`` each; one page may make its archive larger."""
-    files = max(1, -(-int(total_bytes) // archive_bytes))
-    (
-        resolved.repartition(files)
-        .transform(records)
-        .write.option("lineSep", "\r\n\r\n")
-        .text(path, compression="gzip")
-    )
+def write_archives(resolved: DataFrame, path: str) -> None:
+    """Write an archive per partition of the resolved records."""
+    resolved.transform(records).write.option("lineSep", "\r\n\r\n").text(path, compression="gzip")
 
 
 def parse_archive(data: bytes) -> Iterator[tuple]:
@@ -196,12 +234,12 @@ def archive_index(archive: DataFrame) -> DataFrame:
     )
 
 
-def deduplicated_archives(pages: DataFrame, path: str, min_bytes: int = 0) -> DataFrame:
+def deduplicated_archives(
+    pages: DataFrame, path: str, min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES
+) -> DataFrame:
     """Write all pages (page_id, url, html) as archives under ``path`` and read them back.
 
     An empty table gives no record. Columns other than the three take no part.
     """
-    payloads = page_payloads(pages)
-    total = payloads.agg(F.sum("payload_bytes")).first()[0] or 0
-    write_archives(resolve_revisits(payloads, min_bytes), path, total)
+    write_archives(resolve_revisits(page_payloads(pages), min_bytes, archive_bytes), path)
     return read_archives(pages.sparkSession, path)

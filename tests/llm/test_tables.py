@@ -46,13 +46,16 @@ def test_products_beyond_floats():
     assert topk.products(a, b)[0, 0] == 2**60 + 1
 
 
-def test_archives_round_trip(spark, scratch):
+@pytest.mark.parametrize("hot", [1000, 1])
+def test_archives_round_trip(spark, scratch, monkeypatch, hot):
+    # With 1 no digest is frequent, with 1000 all repeated ones of so few rows are.
+    monkeypatch.setattr(warc, "HOT", hot)
     rows = [
         (1, "http://a/\r\nx", "<p>é</p>\r\n\r\nWARC/1.1"), (2, None, None), (3, "u", ""), (4, "u", "same"), (9, "u", "same"),
         (9, "u", "same"), (None, "u", "same"), (None, None, "alone"), (5, "v", "x" * 200_000),
     ]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("record_type", F.lit("clash"))
-    archive = warc.deduplicated_archives(pages, scratch + "/warc")
+    archive = warc.deduplicated_archives(pages, f"{scratch}/warc{hot}")
     found = sorted((tuple(r) for r in warc.archive_index(archive).collect()), key=repr)
     original = {"": 3, "same": 9}
     expected = []
@@ -68,7 +71,17 @@ def test_archives_round_trip(spark, scratch):
     payloads = warc.page_payloads(pages)
     kinds = {r["page_id"]: r["record_type"] for r in warc.resolve_revisits(payloads, min_bytes=5).collect()}
     assert set(kinds.values()) == {"response"}
-    assert warc.archive_index(warc.deduplicated_archives(pages.limit(0), scratch + "/none")).collect() == []
+    assert warc.archive_index(warc.deduplicated_archives(pages.limit(0), f"{scratch}/none{hot}")).collect() == []
+
+
+def test_payloads_move_once(spark):
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet")
+    resolved = warc.resolve_revisits(warc.page_payloads(pages), archive_bytes=1 << 16)
+    plan = resolved.transform(warc.records)._jdf.queryExecution().executedPlan().toString()
+    moves = [line for line in plan.splitlines() if " Exchange hashpartitioning" in line]
+    assert len(moves) == 2 and all("REPARTITION_BY_NUM" in line for line in moves)
+    assert "SortMergeJoin" not in plan and plan.count("ShuffledHashJoin") == 1
+    assert resolved.rdd.getNumPartitions() > 1
 
 
 def test_components_of_chains_and_stars(spark):
