@@ -324,6 +324,20 @@ def test_secret_spans(spark):
     assert clean[4] == "key [SECRET] end" and clean[5] == "[SECRET] " * 300
 
 
+def test_redaction_beside_clashing_columns(spark):
+    names = ["doc_id", "base", "tried", "counted", "spans", "row", "text", "_words"]
+    rows = [(1, "a", "b", 2, [3], {"x": 1}, "é token=abcdef99 end", None), (2, None, None, None, None, None, None, "w")]
+    schema = "doc_id long, base string, tried string, counted int, spans array<int>, row map<string,int>, text string, _words string"
+    docs = spark.createDataFrame(rows, schema)
+    found = secrets.redact(docs)
+    assert found.columns == names and found.schema == docs.schema
+    clean = {r["doc_id"]: tuple(r) for r in found.collect()}
+    assert clean[1] == (*rows[0][:6], "é [SECRET] end", None) and clean[2] == rows[1]
+    assert secrets.redact(docs.limit(0)).collect() == []
+    long = spark.createDataFrame([(1, ("Q7" * 40_000) + " x" * 40_000), (2, "")], "doc_id long, text string")
+    assert {r["spans"] for r in secrets.secret_report(long).collect()} == {""}
+
+
 def joint_p(token):
     """The battery and Fisher's method in numpy, normal tails from math.erfc."""
     tail = lambda z: 0.5 * math.erfc(z / math.sqrt(2))
