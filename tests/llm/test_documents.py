@@ -222,6 +222,25 @@ def test_held_out_languages(spark):
     assert code.shape == (4, 7) and min((a != b).sum() for i, a in enumerate(code) for b in code[:i]) == 4
 
 
+def test_bits_that_fail_on_texts_left_out_weigh_less():
+    draw = random.Random(6)
+    # The last two languages use the same letters, some a little more often.
+    shares = {"a": ("abcd", (1, 1, 1, 1)), "b": ("wxyz", (1, 1, 1, 1)), "c": ("klmn", (5, 4, 4, 4)), "d": ("klmn", (4, 4, 4, 5))}
+    text = lambda lang: "".join(draw.choices(*shares[lang], k=25))
+    model = language.train([(lang, text(lang)) for lang in shares for _ in range(60)])
+    apart = model.code[2] != model.code[3]
+    assert model.languages == list("abcd") and model.bit_weight[apart].max() < 0.7 * model.bit_weight[~apart].min()
+    found = [(lang, *model.predict([text(lang)])[0]) for lang in shares for _ in range(60)]
+    assert all(lang == to for lang, to, *_ in found if lang in "ab")
+    assert all(to in "cd" for lang, to, *_ in found if lang in "cd")
+    sure = np.mean([score for lang, _, score, _ in found if lang in "ab"])
+    unsure = np.mean([score for lang, _, score, _ in found if lang in "cd"])
+    # One scale serves all languages, so this orders sure and unsure texts; it is no calibration of each.
+    assert sure > 0.9 and unsure < sure - 0.1
+    one = language.train([("a", "abc"), ("a", "abc")])
+    assert one.predict(["abc", "1", None]) == [("a", 1.0, False), ("und", 0.0, False), ("und", 0.0, False)]
+
+
 def test_base_scores_and_model(documents):
     rows = documents.collect()
     words = {r["doc_id"]: [*re.findall(rb"[^\x20\x09-\x0D]+", r["text"].encode().lower()), None] for r in rows}
