@@ -1,3 +1,5 @@
+import random
+
 import time
 
 import pytest
@@ -257,3 +259,29 @@ def test_namespaces(spark):
 def test_redirects_are_case_sensitive(spark):
     df = spark.createDataFrame([("#REDIRECTION [[A]]",), ("#REDIRECT [[A]]",), ("#redirection",)], "text string")
     assert pages.drop_redirects(df).count() == 2
+
+
+LONG = "a run of words, long enough to stand aside and with l'apostrophe and 12 in it"
+PIECES = [
+    LONG, f" {LONG}", f" {LONG} ", f" {LONG}--", f" {LONG}'", "''", "'", " ", "\n", "\x85", " ", "{{", "}}", "{{{", "}}}", "{|", "|}", "|",
+    "[[", "]]", "[", "]", "[//u ", "[https://u", "//", ":", "#", "<!--", "-->", "--", ">", "<b ", "/>", "<nowiki>", "<nowiki a", "</nowiki>",
+    "&", "&amp", ";", "amp;", "&#xFDD9;", "&#65;", "catégorie:", "[[Catégorie: ", chr(0xFDD0), chr(0xFDD8), chr(0xFDD9), "1", "é",
+]
+
+
+def test_long_runs_go_around_the_patterns_and_change_nothing(spark):
+    rng = random.Random(4)
+    texts = ["".join(rng.choices(PIECES, k=rng.randint(1, 40))) for _ in range(3000)]
+    frame = spark.createDataFrame([(t,) for t in [*texts, None, ""]], "text string")
+    text = F.col("text")
+    rows = frame.select(text, wt.plain_text(text).alias("got"), wt.decode_entities(wt.drop_markup(text)).alias("expected")).collect()
+    assert [r for r in rows if r["got"] != r["expected"]] == []
+    changed = [r for r in rows if r["text"] and LONG in r["text"] and r["got"] != r["text"]]
+    assert len(changed) > 500
+
+
+def test_the_patterns_read_short_texts(spark):
+    text = f"'''x''' {LONG} {{{{t|{LONG}}}}} [[a|{LONG}]] " + f"{LONG} " * 50
+    bare = F.regexp_replace("text", wt.RUN, "")
+    frame = spark.createDataFrame([(text,)], "text string")
+    assert frame.select(F.length(bare)).first()[0] < 200
