@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import heapq
 from bisect import bisect_right
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -390,6 +390,20 @@ class Segments(dict):
         return symbols
 
 
+class Numbers(Segments):
+    """Symbols by word as numbers, which ``numbers`` deals in the order of first meeting."""
+
+    def __init__(self, ranks: dict[tuple[str, str], list[int]], limit: int = CACHED_WORDS):
+        super().__init__(ranks, limit)
+        self.numbers: dict[str, int] = {}
+
+    def __missing__(self, word: str) -> list[int]:
+        symbols = [self.numbers.setdefault(s, len(self.numbers)) for s in segment(word, self.ranks)]
+        if len(self) < self.limit:
+            self[word] = symbols
+        return symbols
+
+
 def merge_ranks(merges: DataFrame) -> dict[tuple[str, str], list[int]]:
     """The ranks of each pair, ascending; refused beyond ``MAX_MERGES``."""
     rows = merges.select("rank", "left", "right").limit(MAX_MERGES + 1).collect()
@@ -426,6 +440,55 @@ def subword_lists(df: DataFrame, merges: DataFrame, text: str = "text") -> DataF
     return pieces_of(df, text).mapInArrow(apply, schema)
 
 
+def _counted(lists: pa.ListArray, numbers: Numbers) -> tuple[np.ndarray, ...]:
+    """How often each row has each symbol: rows (ascending), numbers of symbols, counts.
+
+    Each distinct word is looked up once for all rows, and its symbols count as often as it does.
+    """
+    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    coded = lists.flatten().dictionary_encode()
+    symbols = [numbers[w] for w in coded.dictionary.to_pylist()]
+    n_words = max(1, len(symbols))
+    keys, times = np.unique(
+        np.repeat(np.arange(len(sizes)), sizes) * n_words + coded.indices.to_numpy(), return_counts=True
+    )
+    lengths = np.array([len(x) for x in symbols], np.int64)
+    begin = np.cumsum(lengths) - lengths
+    flat = np.array([i for x in symbols for i in x], np.int64)
+    row, word = keys // n_words, keys % n_words
+    long = lengths[word]
+    place = np.arange(long.sum()) - np.repeat(np.cumsum(long) - long, long) + np.repeat(begin[word], long)
+    n_symbols = max(1, len(numbers.numbers))
+    pairs, total = _summed(np.repeat(row, long) * n_symbols + flat[place], np.repeat(times, long))
+    return pairs // n_symbols, pairs % n_symbols, total
+
+
+def _bags(ranks: dict, batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[tuple]:
+    """Parts of batches whose last column is a list of words, with the rows, tokens and counts in them."""
+    numbers = Numbers(ranks)
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            part = batch.slice(at, rows)
+            row, symbol, n = _counted(part.column(part.num_columns - 1), numbers)
+            yield part, row, pa.array(list(numbers.numbers), pa.string()).take(pa.array(symbol)), pa.array(n)
+
+
+def subword_bags(df: DataFrame, merges: DataFrame, text: str = "text") -> DataFrame:
+    """``bag`` in the place of the text: its distinct byte-pair tokens, each with its count. No shuffle."""
+    ranks = _segmented(df.sparkSession, merges)
+    kept = [c for c in df.columns if c != text]
+    kind = "array<struct<token: string, n: bigint>>"
+    schema = df.select(*kept, F.lit(None).cast(kind).alias("bag")).schema
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, row, tokens, n in _bags(ranks.value, batches):
+            ends = pa.array(np.searchsorted(row, np.arange(part.num_rows + 1)), pa.int32())
+            bags = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([tokens, n], ["token", "n"]))
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], bags], names=[*kept, "bag"])
+
+    return pieces_of(df, text).select(*kept, "pieces").mapInArrow(apply, schema)
+
+
 def subword_tokens(df: DataFrame, merges: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Byte-pair token counts of each row, ``(doc, token, n)``. No shuffle."""
     ranks = _segmented(df.sparkSession, merges)
@@ -433,20 +496,7 @@ def subword_tokens(df: DataFrame, merges: DataFrame, doc: str = "doc_id", text:
     kind = dict(read.dtypes)[doc]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segments = Segments(ranks.value)
-        for batch in batches:
-            ids, tokens, counts = [], [], []
-            for at, words in enumerate(batch.column(1).to_pylist()):
-                bag: Counter = Counter()
-                for word, n in Counter(words or ()).items():
-                    for symbol in segments[word]:
-                        bag[symbol] += n
-                ids += [at] * len(bag)
-                tokens += bag.keys()
-                counts += bag.values()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(ids, pa.int64())), pa.array(tokens, pa.string()), pa.array(counts, pa.int64())],
-                names=[doc, "token", "n"],
-            )
+        for part, row, tokens, n in _bags(ranks.value, batches):
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), tokens, n], names=[doc, "token", "n"])
 
     return read.mapInArrow(apply, f"`{doc}` {kind}, token string, n bigint")

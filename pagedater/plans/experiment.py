@@ -32,19 +32,21 @@ def features(
     Returns ``(key, label, split, features)`` and the vocabulary. The vocabulary is
     learned from the training rows; ``fit_on="all"`` learns it from every row, as the
     published run did. With ``merges`` the tokens are byte-pair tokens of so many merges,
-    learned from the same rows; else they are words. Texts are read for the merges, for the
-    vocabulary and for the vectors; only the vectors are stored.
+    learned from the same rows, and each text is cut into them once: its counts are stored.
+    Else they are words, and texts are read for the vocabulary and for the vectors.
     """
     split = session.stage(splits.random_split(docs.select(key, label, "text"), key=key), "split")
     fitted = split if fit_on == "all" else split.filter(F.col("split") == "train")
     if merges:
         table = session.stage(subwords.learn_merges(session.stage(subwords.word_counts(fitted), "words"), merges), "merges")
-        tokenise = lambda df: subwords.subword_lists(df, table).drop("pieces")
-    else:
-        tokenise = tokens.word_tokens
-    frequencies = tokens.doc_frequency(tokenise(fitted))
+        bags = session.stage(subwords.subword_bags(split, table), "bags")
+        learned_from = bags if fit_on == "all" else bags.filter(F.col("split") == "train")
+        frequencies = tokens.doc_frequency(learned_from.select(F.explode("bag").alias("pair")).select("pair.token"))
+        names = tokens.feature_names(tokens.prune_vocabulary(frequencies, fitted, min_df))
+        return tokens.bag_vectors(bags, names).select(key, label, "split", "features"), names
+    frequencies = tokens.doc_frequency(tokens.word_tokens(fitted))
     names = tokens.feature_names(tokens.prune_vocabulary(frequencies, fitted, min_df))
-    vectors = tokens.vectorise(tokenise(split), names)
+    vectors = tokens.vectorise(tokens.word_tokens(split), names)
     return session.stage(vectors.select(key, label, "split", "features"), "vectors"), names
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conftest import SMALL, plan_of
 from pagedater import session
 from pagedater.operators import subwords, tokens
+from pagedater.plans import experiment
 from pagedater.registry import queries
 
 
@@ -164,3 +165,29 @@ def test_vocabulary_is_numbered_without_one_task(spark):
     rows = vocabulary.orderBy("token").collect()
     assert [r.token_id for r in rows] == list(range(3000)) and [r.token for r in rows] == sorted(f"w{i}" for i in range(3000))
     assert tokens.prune_vocabulary(tokens.doc_frequency(frame), frame, 1.0).collect() == []
+
+
+def test_bags_give_the_vectors_of_token_lists(spark):
+    merges = spark.createDataFrame([(0, "a", "b"), (1, "ab", "c"), (2, "a", "b")], subwords.MERGES)
+    frame = docs(spark, "abc ab  zab, ab", None, "", "q abcab 12", "ab " * 3000, "zz")
+    names = ["ab", "abc", "c", "z"]
+    bags = subwords.subword_bags(frame, merges)
+    assert "Exchange" not in plan_of(bags)
+    found = tokens.bag_vectors(bags, names)
+    listed = tokens.vectorise(subwords.subword_lists(frame, merges), names)
+    assert found.schema["features"].dataType == listed.schema["features"].dataType
+    got, expected = ({r.doc_id: r.features for r in df.collect()} for df in (found, listed))
+    assert got == expected and len(got) == 6
+    counted = {(r.doc_id, r.token): r.n for r in subwords.subword_tokens(frame, merges).collect()}
+    assert counted == {(r.doc_id, p.token): p.n for r in bags.collect() for p in r.bag}
+
+
+def test_a_text_is_cut_into_subwords_once(spark, monkeypatch):
+    read = []
+    whole = subwords.pieces_of
+    monkeypatch.setattr(subwords, "pieces_of", lambda df, text="text": read.append(1) or whole(df, text))
+    rows = [(i, i % 2, "le chat dort la nuit " * (1 + i % 3)) for i in range(60)]
+    frame = spark.createDataFrame(rows, "page_id long, semicentury int, text string")
+    vectors, names = experiment.features(frame, merges=5)
+    # Once for the words that merges are learned from, once for the counts.
+    assert len(read) == 2 and names and vectors.count() == 60
