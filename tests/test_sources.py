@@ -55,6 +55,12 @@ def test_read_dump(spark, dump_path):
     assert "l'an & <i>mil</i>" in rows["Texte"].revision.text._VALUE
 
 
+def test_a_page_is_parsed_once(spark, dump_path):
+    for mode in ("error", "drop"):
+        assert plan_of(dump.read_dump(spark, dump_path, mode).select("id", "title")).count("from_xml(") == 1
+    assert plan_of(dump.rejected_pages(spark, dump_path)).count("from_xml(") == 1
+
+
 def test_damaged_pages_harm_no_other(spark, tmp_path):
     page = "<page><title>{}</title><ns>0</ns><id>{}</id>\n<revision><id>{}</id><text>{}</text></revision></page>"
     cells = [("A", 1, 1, "a"), ("B", 2, "x", "b"), ("C", 3, 3, "c <b> d"), ("D", 4, 4, "d &lt;/page&gt; e"), ("E", 5, 5, "e")]
