@@ -10,6 +10,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from .. import session
 from .numbering import numbered
@@ -101,15 +102,36 @@ def feature_names(vocabulary: DataFrame) -> list[str]:
 def feature_table(rows: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Counts of vocabulary tokens beside the columns of ``rows`` (key, label, split) in one table.
 
-    ``rows`` has ``tokens``, which are counted in the row. ``vocabulary`` should be staged: it
-    is broadcast when it is within the bound, and then nothing is shuffled.
+    ``rows`` has ``tokens``, which are counted in the row. ``vocabulary`` should be staged: when
+    it is within the bound of a broadcast, only its tokens are counted, and nothing is shuffled.
     """
     kept = [c for c in rows.columns if c not in ("tokens", "text")]
+    known = vocabulary.select("token", "token_id")
+    if session.fits_broadcast(known):
+        return _known_counts(rows.select(*kept, "tokens"), known.filter("token is not null"))
     pairs = counted_tokens(rows).select(*kept, F.explode("bag").alias("pair")).select(*kept, "pair.token", "pair.n")
-    known = session.broadcast_if_small(vocabulary.select("token", "token_id"))
     return pairs.join(known, "token").select(*kept, "token_id", "n")
 
 
+def _known_counts(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Counts of the tokens of ``known`` in place of ``tokens``, by vectors made in the row."""
+    kept = [c for c in rows.columns if c != "tokens"]
+    listed = [(row["token"], row["token_id"]) for row in known.collect()]
+    places = {token: at for at, token in enumerate(dict.fromkeys(token for token, _ in listed))}
+    if not places:
+        nothing = [F.lit(None).cast(known.schema["token_id"].dataType).alias("token_id"), F.lit(None).cast("long").alias("n")]
+        return rows.limit(0).select(*kept, *nothing)
+    filled = rows.withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>")))
+    sparse = F.unwrap_udt("features")
+    pairs = F.arrays_zip(sparse["indices"].alias("at"), sparse["values"].alias("n"))
+    counted = vectorise(filled, list(places)).select(*kept, F.explode(pairs).alias("pair"))
+    schema = StructType([StructField("at", IntegerType()), known.schema["token_id"]])
+    ids = rows.sparkSession.createDataFrame([(places[token], number) for token, number in listed], schema)
+    return counted.join(F.broadcast(ids), counted["pair.at"] == ids["at"]).select(
+        *kept, ids["token_id"], F.col("pair.n").cast("long").alias("n")
+    )
+
+
 def wide_features(bag: DataFrame, names: list[str], doc: str = "doc_id") -> DataFrame:
     """One column per token, for small vocabularies; missing counts are 0."""
     kept = bag.filter(F.col("token").isin(names))

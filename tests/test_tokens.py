@@ -44,6 +44,24 @@ def test_vocabulary_and_vectors_agree_with_the_library(spark):
     assert all(vectors[r.doc_id][r.token_id] == r.n for r in table)
 
 
+def test_feature_table_counts_known_tokens_only(spark, monkeypatch):
+    rows = [(1, "fr", ["b", "a", None, "b", "x"]), (1, "fr", ["b"]), (None, None, ["a"]), (4, "en", None), (5, "en", [])]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, tokens array<string>")
+    vocabulary = spark.createDataFrame([(3, "a"), (8, "b"), (9, "absent"), (2, None)], "token_id int, token string")
+    none = tokens.feature_table(df, vocabulary.limit(0))
+    assert none.columns == ["doc_id", "lang", "token_id", "n"] and none.isEmpty()
+    wanted = tokens.counted_tokens(df).select("doc_id", "lang", F.explode("bag").alias("pair"))
+    wanted = wanted.join(vocabulary, F.col("pair.token") == F.col("token")).select("doc_id", "lang", "token_id", "pair.n")
+
+    def refused(_):
+        raise AssertionError("every token is sorted and counted")
+
+    monkeypatch.setattr(tokens, "counted_tokens", refused)
+    found = tokens.feature_table(df, vocabulary)
+    assert found.schema.simpleString() == wanted.schema.simpleString()
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, wanted.collect()))
+
+
 def test_wide_features(spark):
     bag = tokens.bag_of_words(tokens.word_tokens(docs(spark, "a b a", "b c")))
     wide = tokens.wide_features(bag, ["a", "b"]).orderBy("doc_id").collect()
