@@ -285,3 +285,36 @@ def test_the_patterns_read_short_texts(spark):
     bare = F.regexp_replace("text", wt.RUN, "")
     frame = spark.createDataFrame([(text,)], "text string")
     assert frame.select(F.length(bare)).first()[0] < 200
+
+
+FACTS = [*PIECES, "{{TextQuality|", "{{textquality|50%}}", "{{page|", f"{{{{Page|x={LONG}|", "<pages ", 'index="', '" />', '<pagequality level="', "3", "=", '"']
+
+
+def test_facts_are_read_without_long_runs_and_stay_the_same(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = ["".join(rng.choices(FACTS, k=rng.randint(1, 40))) for _ in range(3000)]
+    titles = ["Livre:a", "T", None, "Page:a/1"]
+    rows = [(i, titles[i % 4], t) for i, t in enumerate([*texts, None, ""])]
+    frame = spark.createDataFrame(rows, "page_id long, title string, text string")
+    read, live = [], wt.live
+    monkeypatch.setattr(wt, "live", lambda text: read.append(str(text)) or live(text))
+    found = markup.page_facts(frame).withColumnRenamed("text", "plain").drop("title")
+    assert any("short" in column for column in read)
+    title, text = F.col("title"), F.col("text")
+    index, embeds = title.startswith("Livre:"), wt.transcludes(text)
+    is_text = ~index & ~embeds
+    categories = F.when(~index, wt.category_names(text))
+    wanted = {
+        "is_text": is_text,
+        "categories": categories,
+        "book_title": F.when(index, F.substring(title, 7, 99)).when(embeds, wt.embed_target(text, title)),
+        "book_claims": F.coalesce(F.when(index, wt.index_years(text)), categories),
+        "quality": F.when(is_text, wt.quality(text)),
+        "plain": F.when(is_text, wt.decode_entities(wt.drop_markup(text))),
+    }
+    pairs = frame.select("page_id", "text", *[c.alias(f"want_{n}") for n, c in wanted.items()]).join(found, "page_id")
+    rows = pairs.collect()
+    assert len(rows) == len(texts) + 2
+    assert [(r.text, n) for r in rows for n in wanted if r[n] != r[f"want_{n}"]] == []
+    assert any(r.quality for r in rows) and any(LONG in (r.book_title or "") for r in rows)
+    assert any(LONG in c for r in rows for c in r.categories or [])
