@@ -6,7 +6,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import CountVectorizerModel
+import pyarrow.compute as pc
+from pyspark.ml.feature import CountVectorizerModel, VectorSlicer
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ MIN_DF = 0.05
 # A share of min_df bounds it: a document holds w distinct tokens on average, so at
 # most w / min_df tokens reach the share, however many documents there are.
 MAX_COLUMNS = 1_000_000
+# Texts that are cut into words together.
+TEXTS = 1_000
 
 
 def word_tokens(df: DataFrame, text: str = "text") -> DataFrame:
@@ -144,6 +147,100 @@ def vectorise(df: DataFrame, names: list[str]) -> DataFrame:
     return model.transform(df)
 
 
+def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The words of ``word_tokens``: the number of each one's text, its place in a dictionary, the dictionary."""
+    listed = pc.split_pattern_regex(texts, f"[{SPACE}.;,]+")
+    of = np.repeat(np.arange(len(texts)), listed.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    coded = listed.flatten().dictionary_encode()
+    place = coded.indices.to_numpy()
+    # What stands before a first and after a last sign between words is empty.
+    full = place != pc.index(coded.dictionary, "").as_py()
+    return of[full], place[full].astype(np.int64), coded.dictionary
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of some ``TEXTS`` rows, alike in size."""
+    for batch in batches:
+        cuts = np.linspace(0, batch.num_rows, max(1, batch.num_rows // TEXTS) + 1).astype(int).tolist()
+        for first, last in zip(cuts, cuts[1:]):
+            yield batch.slice(first, last - first)
+
+
+def common_tokens(df: DataFrame, min_df: float = MIN_DF, text: str = "text") -> DataFrame:
+    """Tokens that may be in a share ``min_df`` of the rows: those that are in that share of some batch of them.
+
+    A token that falls short of the share in every batch falls short of it in all, so none is
+    missed, and of a batch only the tokens that are common there leave the task.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: set[str] = set()
+        for batch in _parts(batches):
+            of, place, words = _words(batch.column(0))
+            n = batch.num_rows
+            # Rounding must not lose a token at the bound.
+            least = min_df * n * (1 - 1e-9)
+            often = np.bincount(place, minlength=len(words)) >= least
+            cells = np.unique((place * n + of)[often[place]])
+            rows = np.bincount(cells // max(n, 1), minlength=len(words))
+            found.update(words.take(np.flatnonzero((rows > 0) & (rows >= least))).to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string())], ["token"])
+
+    return df.select(text).mapInArrow(run, "token string").distinct()
+
+
+def count_vectors(df: DataFrame, names: list[str], text: str = "text") -> DataFrame:
+    """``features`` in the place of ``text``: the vectors that ``vectorise`` makes of its words. No shuffle, staged."""
+    kept = [c for c in df.columns if c != text]
+    known = df.sparkSession.sparkContext.broadcast(names)
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed = pa.array(known.value, pa.string())
+        size = len(listed)
+        for batch in _parts(batches):
+            of, place, words = _words(batch.column(len(kept)))
+            column = pc.index_in(words, listed).fill_null(-1).to_numpy()[place].astype(np.int64)
+            cells, counts = np.unique(of[column >= 0] * size + column[column >= 0], return_counts=True)
+            yield _with_vectors(batch, cells // max(size, 1), cells % max(size, 1), counts, size)
+
+    return _staged_vectors(df.select(*kept, text), kept, apply)
+
+
+def common_vectors(
+    df: DataFrame, learned: Column, min_df: float = MIN_DF, text: str = "text"
+) -> tuple[DataFrame, list[str]]:
+    """``features`` in the place of ``text``, and the tokens that stand for their columns, in sort order.
+
+    The tokens are those found in at least a share ``min_df`` of the rows that ``learned`` picks, inclusive:
+    what ``prune_vocabulary`` keeps. Vectors of all tokens that may reach the share are made first; how
+    many rows hold each is read off them, and the columns of the others are cut out.
+    """
+    fitted = df.filter(learned)
+    maybe = common_tokens(fitted, min_df, text).limit(MAX_COLUMNS + 1).collect()
+    if len(maybe) > MAX_COLUMNS:
+        names = feature_names(prune_vocabulary(doc_frequency(word_tokens(fitted, text)), fitted, min_df))
+        return count_vectors(df, names, text), names
+    # By bytes, as Spark sorts.
+    names = sorted((row["token"] for row in maybe), key=str.encode)
+    vectors = count_vectors(df, names, text)
+    held = vectors.filter(learned).select(F.unwrap_udt("features")["indices"].alias("at"))
+    least = float(min_df) * held.count()
+    frequencies = held.select(F.explode("at").alias("at")).groupBy("at").agg(F.count("*").alias("df"))
+    kept = sorted(row["at"] for row in frequencies.filter(F.col("df") >= F.lit(least)).collect())
+    if len(kept) < len(names):
+        names = [names[at] for at in kept]
+        vectors = _sliced(vectors, kept) if kept else count_vectors(df, names, text)
+    return vectors, names
+
+
+def _sliced(vectors: DataFrame, kept: list[int]) -> DataFrame:
+    """Only some columns of ``features``."""
+    slicer = VectorSlicer(inputCol="features", outputCol="_kept", indices=kept)
+    return slicer.transform(vectors).select(
+        *[F.col("_kept").alias(c) if c == "features" else c for c in vectors.columns]
+    )
+
+
 def bag_vectors(df: DataFrame, names: list[str]) -> DataFrame:
     """``features`` in the place of ``bag``: the vectors that ``vectorise`` makes. No shuffle, staged.
 
@@ -151,8 +248,6 @@ def bag_vectors(df: DataFrame, names: list[str]) -> DataFrame:
     """
     known = df.sparkSession.sparkContext.broadcast({name: i for i, name in enumerate(names)})
     kept = [c for c in df.columns if c != "bag"]
-    vector = VectorUDT().sqlType()
-    plain = df.select(*kept, F.lit(None).cast(vector).alias("features")).schema
     size = len(names)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,15 +260,28 @@ def bag_vectors(df: DataFrame, names: list[str]) -> DataFrame:
             column, row = columns[coded.indices.to_numpy()], np.repeat(np.arange(len(sizes)), sizes)
             order = np.lexsort((column, row))
             order = order[column[order] >= 0]
-            ends = pa.array(np.searchsorted(row[order], np.arange(len(sizes) + 1)), pa.int32())
-            parts = [
-                pa.array(np.zeros(len(sizes), np.int8)),
-                pa.array(np.full(len(sizes), size, np.int32)),
-                pa.ListArray.from_arrays(ends, pa.array(column[order])),
-                pa.ListArray.from_arrays(ends, pa.array(counts.to_numpy()[order].astype(float))),
-            ]
-            vectors = pa.StructArray.from_arrays(parts, ["type", "size", "indices", "values"])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], vectors], names=[*kept, "features"])
+            yield _with_vectors(batch, row[order], column[order], counts.to_numpy()[order], size)
+
+    return _staged_vectors(df.select(*kept, "bag"), kept, apply)
+
+
+def _with_vectors(batch: pa.RecordBatch, row: np.ndarray, column: np.ndarray, counts: np.ndarray, size: int) -> pa.RecordBatch:
+    """Sparse vectors, from their cells by row and column, in the place of a batch's last column."""
+    n = batch.num_rows
+    ends = pa.array(np.searchsorted(row, np.arange(n + 1)), pa.int32())
+    parts = [
+        pa.array(np.zeros(n, np.int8)),
+        pa.array(np.full(n, size, np.int32)),
+        pa.ListArray.from_arrays(ends, pa.array(column.astype(np.int32))),
+        pa.ListArray.from_arrays(ends, pa.array(counts.astype(float))),
+    ]
+    vectors = pa.StructArray.from_arrays(parts, ["type", "size", "indices", "values"])
+    return pa.RecordBatch.from_arrays([*batch.columns[:-1], vectors], names=[*batch.schema.names[:-1], "features"])
+
 
+def _staged_vectors(
+    df: DataFrame, kept: list[str], apply: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+) -> DataFrame:
+    plain = df.select(*kept, F.lit(None).cast(VectorUDT().sqlType()).alias("features")).schema
     staged = df.select(*kept).schema.add("features", VectorUDT())
-    return session.stage(df.select(*kept, "bag").mapInArrow(apply, plain), "vectors", staged)
+    return session.stage(df.mapInArrow(apply, plain), "vectors", staged)

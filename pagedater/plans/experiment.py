@@ -33,7 +33,8 @@ def features(
     learned from the training rows; ``fit_on="all"`` learns it from every row, as the
     published run did. With ``merges`` the tokens are byte-pair tokens of so many merges,
     learned from the same rows, and each text is cut into them once: its counts are stored.
-    Else they are words, and texts are read for the vocabulary and for the vectors.
+    Else they are words, and texts are read for the tokens that are common in some batch of them,
+    and for the vectors.
     """
     split = session.stage(splits.random_split(docs.select(key, label, "text"), key=key), "split")
     fitted = split if fit_on == "all" else split.filter(F.col("split") == "train")
@@ -44,10 +45,8 @@ def features(
         frequencies = tokens.doc_frequency(learned_from.select(F.explode("bag").alias("pair")).select("pair.token"))
         names = tokens.feature_names(tokens.prune_vocabulary(frequencies, fitted, min_df))
         return tokens.bag_vectors(bags, names).select(key, label, "split", "features"), names
-    frequencies = tokens.doc_frequency(tokens.word_tokens(fitted))
-    names = tokens.feature_names(tokens.prune_vocabulary(frequencies, fitted, min_df))
-    vectors = tokens.vectorise(tokens.word_tokens(split), names)
-    return session.stage(vectors.select(key, label, "split", "features"), "vectors"), names
+    learned = F.lit(True) if fit_on == "all" else F.col("split") == "train"
+    return tokens.common_vectors(split.select(key, label, "split", "text"), learned, min_df)
 
 
 def run(

@@ -209,3 +209,40 @@ def test_a_text_is_cut_into_subwords_once(spark, monkeypatch):
     vectors, names = experiment.features(frame, merges=5)
     # Once for the words that merges are learned from, once for the counts.
     assert len(read) == 2 and names and vectors.count() == 60
+
+
+def test_common_vectors_are_those_of_the_vocabulary(spark, monkeypatch):
+    """Words at the very share, texts without words or without anything, batches of few rows; no word is shuffled."""
+    random.seed(5)
+    known = [f"w{i}" for i in range(40)] + ["é", "\U0001f600", "�"]
+    texts = [" ".join(random.choices(known, k=random.randint(0, 9))) for _ in range(190)]
+    texts += [None, "", " .;,", "a.b;c,d\te\x1ff　g\x85h", ".w1;", "rare"] + ["w1 w1 w2"] * 4
+    rows = [(i, t, "train" if i % 5 else "test") for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, split string").repartition(3)
+    train = frame.filter("split = 'train'")
+    cut = tokens.word_tokens(frame)
+    counted = tokens.doc_frequency(tokens.word_tokens(train))
+    # A share that some word has exactly.
+    share = sorted(r["df"] for r in counted.collect())[25] / train.count()
+    monkeypatch.setattr(tokens, "TEXTS", 16)
+    for min_df in (share, 0.05, 0.0, 1.0):
+        expected = tokens.feature_names(tokens.prune_vocabulary(counted, train, min_df))
+        vectors, names = tokens.common_vectors(frame, F.col("split") == "train", min_df)
+        assert names == expected
+        assert vectors.columns == ["doc_id", "split", "features"] and vectors.count() == len(rows)
+        if names:
+            filled = cut.withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>")))
+            wanted = {r.doc_id: r.features for r in tokens.vectorise(filled, names).collect()}
+            assert {r.doc_id: r.features for r in vectors.collect()} == wanted
+    # What a batch finds common leaves the task, and no more.
+    many = spark.createDataFrame([(f"same own{i}",) for i in range(640)], "text string").coalesce(1)
+    assert [r.token for r in tokens.common_tokens(many, 0.5).collect()] == ["same"]
+
+
+def test_words_end_at_the_same_signs_as_word_tokens(spark):
+    signs = [chr(i) for i in range(1, 0x3100) if not 0xD800 <= i < 0xE000]
+    frame = spark.createDataFrame([(i, f"a{c}b") for i, c in enumerate(signs)], "doc_id long, text string")
+    names = sorted({w for r in tokens.word_tokens(frame).collect() for w in r.tokens}, key=str.encode)
+    vectors = tokens.count_vectors(frame, names)
+    found = {r.doc_id: r.features for r in vectors.collect()}
+    assert found == {r.doc_id: r.features for r in tokens.vectorise(tokens.word_tokens(frame), names).collect()}
