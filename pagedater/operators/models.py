@@ -7,16 +7,19 @@ predicts labels of the same kind (class years, languages).
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LinearSVC,
+    LinearSVCModel,
     MultilayerPerceptronClassifier,
     NaiveBayes,
-    OneVsRest,
+    OneVsRestModel,
 )
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
@@ -34,6 +37,9 @@ MLP_SEED = 1
 MAX_CLASSES = 1_000
 # Rows that are projected together.
 ROWS = 512
+# Each kernel machine that is being fitted holds a copy of its rows in the executors: machines are
+# fitted beside each other as long as their copies stay within so many bytes, else one by one.
+COPIES_BYTES = 4 << 30
 
 
 @dataclass
@@ -164,6 +170,11 @@ def kernel_scale(train: DataFrame) -> tuple[int, float]:
     return stats["count"], gamma
 
 
+def machines_at_once(rows: int, size: int, most: int) -> int:
+    """How many machines hold a copy of ``rows`` rows of ``size`` doubles at a time, one at least."""
+    return max(1, min(most, COPIES_BYTES // max(1, rows * size * 8)))
+
+
 def svm(
     train: DataFrame,
     label: str = "semicentury",
@@ -179,18 +190,23 @@ def svm(
     over random Fourier features of the same kernel, with the same weight of errors
     (C = 1) and tolerance. They run until the tolerance is met; ``max_iter`` is for the
     impatient, and ``iterations`` and ``converged`` of the result tell what happened.
+    Up to ``parallelism`` machines are fitted at once, as their copies of the rows fit
+    ``COPIES_BYTES``; all read one stored table, and the result doesn't depend on it.
     """
     rows, gamma = kernel_scale(train)
     projection = FourierFeatures(gamma, size, seed)
     classes = class_list(train, label)
     numbered = _numbered(train, label, classes).select("class", "features")
     projected = session.stage(projection.transform(numbered), "projected")
-    estimator = OneVsRest(
-        classifier=LinearSVC(maxIter=max_iter, tol=tol, regParam=1.0 / rows, standardization=False),
-        labelCol="class",
-        parallelism=parallelism,
-    )
-    model = estimator.fit(projected)
+    machine = LinearSVC(labelCol="own", maxIter=max_iter, tol=tol, regParam=1.0 / rows, standardization=False)
+
+    @inheritable_thread_target(train.sparkSession)
+    def against_the_rest(number: int) -> LinearSVCModel:
+        own = F.when(F.col("class") == number, 1.0).otherwise(0.0)
+        return machine.fit(projected.select(own.alias("own"), "features"))
+
+    with ThreadPool(machines_at_once(rows, size, parallelism)) as pool:
+        model = OneVsRestModel(models=pool.map(against_the_rest, range(len(classes)), chunksize=1))
     iterations = [m.summary().totalIterations for m in model.models]
     return Classifier(model, classes, label, projection, iterations, all(n < max_iter for n in iterations))
 

@@ -1,6 +1,7 @@
 """Classifiers on the languages of the documents: well above the majority class."""
 
 import math
+import threading
 
 import numpy as np
 import pytest
@@ -98,6 +99,38 @@ def test_kernel_machine_converges_and_needs_no_weights(spark, vectors):
         models.save(fitted, "nowhere")
 
 
+def test_machines_beyond_the_bound_are_fitted_one_by_one(spark, monkeypatch):
+    """No more copies of the rows at a time than fit, none besides the machines' own, and the same machines."""
+    draw = np.random.default_rng(4)
+    rows = [(i, "abc"[i % 3], " ".join(draw.choice(["x", "y", "z", "abc"[i % 3]], 6))) for i in range(120)]
+    df = tokens.word_tokens(spark.createDataFrame(rows, "page_id long, semicentury string, text string"))
+    train = session.stage(tokens.vectorise(df, ["a", "b", "c", "x", "y", "z"]), "train")
+    fit, lock, running, most, cached = models.LinearSVC.fit, threading.Lock(), [0], [], []
+
+    def watched(self, dataset, *params):
+        with lock:
+            running[0] += 1
+            most.append(running[0])
+            cached.append(dataset.storageLevel.useMemory)
+        try:
+            return fit(self, dataset, *params)
+        finally:
+            with lock:
+                running[0] -= 1
+
+    monkeypatch.setattr(models.LinearSVC, "fit", watched)
+    beside = models.svm(train, size=16)
+    assert len(most) == 3 and not any(cached)
+    most.clear()
+    assert models.machines_at_once(10**7, 256, 4) == 1 and models.machines_at_once(10, 256, 4) == 4
+    monkeypatch.setattr(models, "COPIES_BYTES", 120 * 16 * 8)
+    alone = models.svm(train, size=16)
+    assert most == [1, 1, 1] and not any(cached)
+    assert alone.iterations == beside.iterations
+    for one, other in zip(alone.model.models, beside.model.models):
+        assert np.allclose(one.coefficients.toArray(), other.coefficients.toArray(), rtol=1e-6)
+
+
 def test_projection_approximates_the_kernel():
     draw = np.random.default_rng(1)
     dense = draw.integers(0, 3, (40, 30)).astype(float)
